@@ -259,19 +259,11 @@ def discharge_and_stay_type(
         base.groupBy(stay)
         .agg(
             row_count(),
-            F.max(value).alias("_top"),
-            # of equal values the smallest type, as text order has no negation
-            F.min(
-                F.when(
-                    F.col(value).isNotNull(),
-                    F.struct((-F.col(value)).alias("v"), F.isnull(stay_type), F.col(stay_type)),
-                )
-            )
-            .getField(stay_type)
-            .alias("_type"),
+            F.bool_or(F.col(value).isNotNull()).alias(FOUND),
+            winner(stay_type, F.col(value)).alias(stay_type),
         )
-        .filter(F.col("_top").isNotNull())
-        .select(stay, ROWS, F.col("_type").alias(stay_type))
+        .filter(FOUND)
+        .drop(FOUND)
     )
     base = base.drop(stay_type)
     if collapse_to_claim:

@@ -340,6 +340,25 @@ def stays_preaggregated(
 
 
 def readmission_gap(
+    df: DataFrame,
+    *,
+    stay: str = "ID_INTERNACAO",
+    out: str = "TEMPO_DESDE_ULTIMA_INTERNACAO",
+    within_days: int | None = None,
+    within_out: str = "REINTERNACAO",
+    **options,
+) -> DataFrame:
+    """Attach each stay's gap (``options`` as in ``readmission_gaps``).
+
+    ``within_days`` adds a flag for gaps of at most that many days.
+    """
+    joined = attach(df.drop(out), readmission_gaps(df, stay=stay, out=out, **options), [stay])
+    if within_days is None:
+        return joined
+    return joined.withColumn(within_out, F.coalesce(F.col(out) <= within_days, F.lit(False)))
+
+
+def readmission_gaps(
     df: DataFrame,
     *,
     stay: str = "ID_INTERNACAO",
@@ -347,11 +366,9 @@ def readmission_gap(
     start: str = "DT_INTERNACAO",
     end: str = "DT_ALTA",
     out: str = "TEMPO_DESDE_ULTIMA_INTERNACAO",
-    within_days: int | None = None,
-    within_out: str = "REINTERNACAO",
     mode: str = "intended",
 ) -> DataFrame:
-    """Days between a stay's admission and the discharge of the person's stay before.
+    """Per stay: days between admission and the discharge of the person's stay before.
 
     ``intended`` leaves the gap of rows without a person NULL; ``observed`` takes
     them all for one person.
@@ -368,13 +385,7 @@ def readmission_gap(
     else:
         known = F.col(person).isNotNull()
         kept = kept.withColumn("_before", F.when(known, before))
-    gaps = kept.select(
-        stay, ROWS, F.abs(days_between("_before", start)).alias(out)
-    )
-    joined = attach(df.drop(out), gaps, [stay])
-    if within_days is None:
-        return joined
-    return joined.withColumn(within_out, F.coalesce(F.col(out) <= within_days, F.lit(False)))
+    return kept.select(stay, ROWS, F.abs(days_between("_before", start)).alias(out))
 
 
 BLOCK = 1_000_000
