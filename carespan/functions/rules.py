@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carespan.functions.values import DATE_FORMAT, as_col
+from carespan.functions.values import as_col, parse_date
 
 
 def is_date(c: str | Column) -> Column:
     """``dd/mm/yyyy`` and a day that exists."""
-    c = as_col(c)
-    shaped = c.rlike(r"^\d{2}/\d{2}/\d{4}$")
-    return F.coalesce(shaped & F.try_to_date(c, DATE_FORMAT).isNotNull(), F.lit(False))
+    return parse_date(c).isNotNull()
 
 
 def is_string(c: str | Column) -> Column:

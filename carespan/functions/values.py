@@ -66,7 +66,13 @@ def read_value(c: str | Column, parse: str) -> Column:
 
 def parse_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     """Text to date; a text that is no such date gives NULL."""
-    return F.try_to_date(as_col(c), fmt)
+    c = as_col(c)
+    if fmt != DATE_FORMAT:
+        return F.try_to_date(c, fmt)
+    # the cast of an ISO text is several times faster than a pattern, above all
+    # on texts that are no date
+    iso = F.concat_ws("-", F.substring(c, 7, 4), F.substring(c, 4, 2), F.substring(c, 1, 2))
+    return F.when(c.rlike(r"^\d{2}/\d{2}/(?!0000)\d{4}$"), iso.try_cast("date"))
 
 
 def days_between(start: str | Column, end: str | Column) -> Column:

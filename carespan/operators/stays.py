@@ -196,7 +196,7 @@ def number_stays(
         *keys, ROWS, *[F.col(c).alias(name) for name, c in given.items()]
     )
     out = attach_measured(df, whole, keys, limit, null_safe=True)
-    if not seen["spread"]:
+    if not seen.get("spread"):
         return out
     spread = groups.filter("_spread")
     return out.unionByName(_number_spread(df, spread, keys, given, limit))

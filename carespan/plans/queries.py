@@ -38,6 +38,14 @@ def day(c: str) -> Column:
     return F.col(c).cast("date")
 
 
+def br(c: str) -> Column:
+    """A date as dd/mm/yyyy text."""
+    iso = text(c)
+    return F.concat_ws(
+        "/", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4)
+    )
+
+
 def claims(spark: SparkSession, folder: str) -> DataFrame:
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -82,9 +90,6 @@ def dated_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claims whose dates are text, some of them missing or unreadable."""
     net, room, kind = F.col("TP_REDE"), F.col("TP_ACOMODACAO"), F.col("TIPO_INTERNACAO")
 
-    def br(c: str) -> Column:
-        return F.date_format(c, "dd/MM/yyyy")
-
     return claims(spark, folder).select(
         F.when((net != "R") | (room != "O"), F.col("ID_PESSOA")).alias("ID_PESSOA"),
         "COD_CONTROLE",
@@ -385,7 +390,7 @@ def consolidation_report(spark, folder):
         parse="number",
     )
     return out.withColumns(
-        {c: F.round(c, 1) for c in ("value_before", "value_after")}
+        {c: F.round(c, 2) for c in ("value_before", "value_after")}
     )
 
 
@@ -674,7 +679,7 @@ def _report(spark, folder):
 @query
 def cost_by_network(spark, folder):
     out = reports.cost_by_network(_report(spark, folder))
-    return out.withColumn("CUSTO_POTENCIAL", F.round("CUSTO_POTENCIAL", 1))
+    return out.withColumn("CUSTO_POTENCIAL", F.round("CUSTO_POTENCIAL", 2))
 
 
 @query
@@ -691,7 +696,7 @@ def share_by_accommodation(spark, folder):
 @query
 def total_cost(spark, folder):
     out = reports.total_cost(_report(spark, folder))
-    return out.withColumn("CUSTO_POTENCIAL", F.round("CUSTO_POTENCIAL", 1))
+    return out.withColumn("CUSTO_POTENCIAL", F.round("CUSTO_POTENCIAL", 2))
 
 
 # --- the whole pipeline -------------------------------------------------------
@@ -705,9 +710,6 @@ def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
     )
     df = claims(spark, folder).join(part, "COD_ITEM_PROD_MEDICA")
 
-    def br(c: str) -> Column:
-        return F.date_format(c, "dd/MM/yyyy")
-
     made = {
         "COD_CONTROLE": text("COD_CONTROLE"),
         "COD_PREST": text("COD_PREST"),

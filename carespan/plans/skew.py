@@ -79,8 +79,8 @@ def attach_measured(
 
 def hot_limit(seen: Mapping) -> float | None:
     """Rows above which a key is hot, or None where no key is; from top and total."""
-    if seen["top"] is None:
-        return None
+    if seen.get("top") is None:
+        return None  # an empty table
     limit = max(HOT_ROWS, seen["total"] * HOT_SHARE)
     return limit if seen["top"] > limit else None
 
