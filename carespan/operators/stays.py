@@ -15,7 +15,7 @@ from carespan.functions.values import DATE_FORMAT, days_between, parse_date
 from carespan.operators.care import INPATIENT, care_type
 from carespan.plans.numbering import PIECE, running_total, stage_pieces
 from carespan.plans.skew import ROWS, attach, attach_measured, hot_limit, row_count
-from carespan.sources.staging import stage
+from carespan.sources.staging import stage, stage_and_measure
 
 
 def _date(df: DataFrame, name: str, fmt: str) -> Column:
@@ -92,7 +92,13 @@ def _links(person: str, start: str, end: str, link: str):
         again = near(s) | near(e)
     elif link == "running_max":
         s, e = F.coalesce(start, end), F.coalesce(end, start)
-        order = [s.asc_nulls_first(), e.desc_nulls_last()]
+        # the given dates part rows that are equal once filled
+        order = [
+            s.asc_nulls_first(),
+            e.desc_nulls_last(),
+            F.col(start).asc_nulls_first(),
+            F.col(end).desc_nulls_last(),
+        ]
         w = Window.partitionBy(person).orderBy(*order)
         seen = F.max(e).over(w.rowsBetween(Window.unboundedPreceding, -1))
         linked = s <= F.date_add(seen, 1)
@@ -373,45 +379,52 @@ def readmission_gaps(
     ``intended`` leaves the gap of rows without a person NULL; ``observed`` takes
     them all for one person.
     """
-    kept = df.groupBy(stay, person, start, end).agg(row_count())
-    order = [F.col(stay).asc_nulls_first(), F.col(end).desc_nulls_last()]
-    # stays without a person are spread, not gathered under NULL
-    nobody = F.when(F.col(person).isNull(), F.col(stay))
-    before = F.lag(end).over(Window.partitionBy(person, nobody).orderBy(*order))
-    if mode == "observed":
-        known = kept.filter(F.col(person).isNotNull()).withColumn("_before", before)
-        unknown = kept.filter(F.col(person).isNull())
-        kept = known.unionByName(_lag_in_blocks(unknown, stay, end, "_before"))
-    else:
+    kept, seen = stage_and_measure(
+        df.groupBy(stay, person, start, end).agg(row_count()), "stays", top=F.max(stay)
+    )
+    many = (seen.get("top") or 0) >= BLOCK
+    before = _lag_in_blocks if many else _lag
+    kept = before(kept, person, stay, end, "_before")
+    if mode == "intended":
         known = F.col(person).isNotNull()
-        kept = kept.withColumn("_before", F.when(known, before))
+        kept = kept.withColumn("_before", F.when(known, F.col("_before")))
     return kept.select(stay, ROWS, F.abs(days_between("_before", start)).alias(out))
 
 
 BLOCK = 1_000_000
 
 
-def _lag_in_blocks(df: DataFrame, number: str, value: str, out: str) -> DataFrame:
-    """``lag`` over the whole table by an integer column, in blocks of its values.
+def _lag(df: DataFrame, key: str, number: str, value: str, out: str) -> DataFrame:
+    order = [F.col(number).asc_nulls_first(), F.col(value).desc_nulls_last()]
+    return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
 
-    The first row of a block takes the last value of the block before.
+
+def _lag_in_blocks(df: DataFrame, key: str, number: str, value: str, out: str) -> DataFrame:
+    """``_lag`` for keys of any size: a window sees one block of numbers of a key.
+
+    The last row of each block is put before the key's next block, where it
+    serves the first row as its predecessor. ``df`` must be repeatable.
     """
-    order = [F.col(number).asc_nulls_first(), F.col(value).desc_nulls_last()]
-    df = df.withColumn("_block", F.coalesce(F.floor(F.col(number) / BLOCK), F.lit(-1)))
-    last = df.groupBy("_block").agg(
-        F.max_by(F.struct(value), F.struct(F.col(number), F.isnull(value), -F.unix_date(value)))
-        .getField(value)
-        .alias("_tail")
+    df = df.withColumn("_block", F.floor(F.col(number) / BLOCK))
+    # last in the order of ``_lag``: the highest number, then the earliest value,
+    # a missing value counting as earliest
+    place = F.struct(F.col(number), F.isnull(value), -F.unix_date(value))
+    last = df.groupBy(key, "_block").agg(
+        F.max(F.struct(place.alias("place"), F.col(value).alias("v"))).getField("v").alias(value)
+    )
+    ahead = F.lead("_block").over(Window.partitionBy(key).orderBy("_block"))
+    carried = (
+        last.select(key, ahead.alias("_block"), value, F.lit(True).alias("_carried"))
+        .filter(F.col("_block").isNotNull())
     )
-    tails = last.select(
-        "_block", F.lag("_tail").over(Window.orderBy("_block")).alias("_tail")
+    both = df.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    w = Window.partitionBy(key, "_block").orderBy(
+        F.col("_carried").desc(),
+        F.col(number).asc_nulls_first(),
+        F.col(value).desc_nulls_last(),
     )
-    w = Window.partitionBy("_block").orderBy(*order)
-    # one row per block of a million numbers
     return (
-        df.withColumn("_nth", F.row_number().over(w))
-        .withColumn(out, F.lag(value).over(w))
-        .join(tails, "_block")
-        .withColumn(out, F.when(F.col("_nth") == 1, F.col("_tail")).otherwise(F.col(out)))
-        .drop("_block", "_nth", "_tail")
+        both.withColumn(out, F.lag(value).over(w))
+        .filter(~F.col("_carried"))
+        .drop("_carried", "_block")
     )

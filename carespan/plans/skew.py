@@ -1,17 +1,19 @@
 """Lookups that hold when one key owns a large part of the rows.
 
-A lookup table has one group of rows per key and carries, in ``ROWS``, how many
-fact rows that key has; it comes from a ``groupBy`` on the facts, so the counter
-is free. ``attach`` stages the lookup table, reads three numbers from it and
-picks the join:
+A lookup table has one row (or a few, on ties) per key and carries, in ``ROWS``,
+how many fact rows that key has; it comes from a ``groupBy`` on the facts, so the
+counter is free. ``attach`` stages the lookup table, takes the largest and the
+total count while writing, and picks the join:
 
 * no hot key: a plain join. The staged table has a known size, so Spark
   broadcasts it when it is under its own threshold and shuffles otherwise.
-* hot keys: fact rows of hot keys meet a broadcast copy of their lookup rows
-  and are not moved at all; the rest is shuffled. Fewer than ``1 / HOT_SHARE``
-  keys can hold more than ``HOT_SHARE`` of the rows each, which bounds the
-  broadcast; where ties give hot keys more than ``BROADCAST_ROWS`` lookup rows
-  the shuffle join is kept.
+* hot keys: the rows of a hot key are dealt out over as many salts as the key has
+  times ``limit`` rows, and its lookup rows are repeated once per salt. The facts
+  are still read once, and no task gets more than about ``limit`` rows of a key.
+
+Fewer than ``1 / HOT_SHARE`` keys can each hold more than ``HOT_SHARE`` of the
+rows, so the list of hot keys sent to all tasks has at most that many rows, and
+the salts of all of them add up to at most twice that.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from pyspark.sql import functions as F
 from carespan.sources.staging import stage_and_measure
 
 ROWS = "_rows_of_key"
+SALT, SALTS = "_salt", "_salts"
 HOT_SHARE = 1 / 2000
 HOT_ROWS = 1_000_000  # below this a key is no burden for one task
-BROADCAST_ROWS = 200_000
 
 
 def row_count():
@@ -60,21 +62,36 @@ def attach_measured(
 ) -> DataFrame:
     """``attach`` where the hot limit of a repeatable ``lookup`` is known."""
     keys = list(keys)
-    if limit is not None:
-        hot = lookup.filter(F.col(ROWS) > limit).drop(ROWS)
-        if hot.count() > BROADCAST_ROWS:
-            limit = None
     if limit is None:
         return _join(facts, lookup.drop(ROWS), keys, how, null_safe)
 
-    rest = lookup.filter(F.col(ROWS) <= limit).drop(ROWS)
-    marks = F.broadcast(hot.select(*keys).distinct())
-    # null-safe, so that rows without a key leave the shuffle when they are many
-    in_hot = _join(facts, marks, keys, "left_semi", True)
-    in_rest = _join(facts, marks, keys, "left_anti", True)
-    return _join(in_hot, F.broadcast(hot), keys, how, null_safe).unionByName(
-        _join(in_rest, rest, keys, how, null_safe)
+    hot = F.broadcast(
+        lookup.filter(F.col(ROWS) > limit)
+        .groupBy(*keys)
+        .agg(F.ceil(F.max(ROWS) / limit).cast("int").alias(SALTS))
+    )
+    # null-safe, so that the rows without a key are dealt out when they are many
+    facts_out = [F.col(f"`{c}`") for c in facts.columns]
+    dealt = _join(facts, hot, keys, "left", True).select(
+        *facts_out, _deal(facts).alias(SALT)
+    )
+    last = F.coalesce(F.col(SALTS), F.lit(1)) - 1
+    repeated = _join(lookup.drop(ROWS), hot, keys, "left", True).withColumn(
+        SALT, F.explode(F.sequence(F.lit(0), last))
     )
+    return _join(dealt, repeated.drop(SALTS), [*keys, SALT], how, null_safe).drop(SALT)
+
+
+def _deal(facts: DataFrame):
+    """The salt of a row: 0 unless its key is hot.
+
+    It depends on the row and on the number of its task, not on the order rows
+    arrive in, so a task that is run again deals its rows out as before; the
+    number of the task parts rows that are equal in every column.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns], F.spark_partition_id())
+    hot = F.col(SALTS).isNotNull()
+    return F.when(hot, F.pmod(row, F.col(SALTS))).otherwise(0).cast("int")
 
 
 def hot_limit(seen: Mapping) -> float | None:
