@@ -753,16 +753,12 @@ def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _pipeline(spark, folder, mode):
-    closure = codes.code_closure(_edges(spark, folder))
-    return run_pipeline(raw_claims(spark, folder), closure, mode=mode)
-
-
 @query
 def full_pipeline(spark, folder):
-    return _pipeline(spark, folder, "intended")
+    closure = codes.code_closure(_edges(spark, folder))
+    return run_pipeline(raw_claims(spark, folder), closure, keep_unmapped=True)
 
 
 @query
 def full_pipeline_observed(spark, folder):
-    return _pipeline(spark, folder, "observed")
+    return run_pipeline(raw_claims(spark, folder), mode="observed")
