@@ -197,32 +197,32 @@ def number_stays(
         given = {stay: "_id"}
     df = df.drop(*given)
     groups, seen = _stay_groups(df, person, start, end, link)
-    limit = hot_limit(seen)
-    whole = groups.filter(~F.col("_spread")).select(
-        *keys, ROWS, *[F.col(c).alias(name) for name, c in given.items()]
+    # one row per group, so that copies of hot groups are dealt out, spread or not
+    firsts = groups.filter("_at_first").select(
+        *keys, ROWS, "_spread", "_id", "_stay_start", "_stay_end"
+    )
+    joined = attach_measured(df, firsts, keys, hot_limit(seen), null_safe=True)
+    out = joined.filter(~F.col("_spread")).select(
+        *df.columns, *[F.col(c).alias(name) for name, c in given.items()]
     )
-    out = attach_measured(df, whole, keys, limit, null_safe=True)
     if not seen.get("spread"):
         return out
-    spread = groups.filter("_spread")
-    return out.unionByName(_number_spread(df, spread, keys, given, limit))
+    spread = _number_spread(joined.filter("_spread"), groups.filter("_spread"), keys)
+    return out.unionByName(
+        spread.select(*df.columns, *[F.col(c).alias(name) for name, c in given.items()])
+    )
 
 
-def _number_spread(
-    df: DataFrame,
-    spread: DataFrame,
-    keys: list[str],
-    given: dict[str, str],
-    limit: float | None,
-) -> DataFrame:
+def _number_spread(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Number the copies of rows that are each a stay of their own.
 
-    A copy's place in its group is its place in its piece plus the copies in the
-    pieces before, so no group is ever gathered in one task.
+    ``rows`` come with the stay of their group's first copy. A copy's place in its
+    group is its place in its piece plus the copies in the pieces before, so no
+    group is ever gathered in one task.
     """
-    first = spread.filter("_at_first").select(*keys, ROWS, F.col("_id").alias("_from"))
+    own = rows.columns[: rows.columns.index("_spread")]
     rows = stage(
-        attach_measured(df, first, keys, limit, null_safe=True)
+        rows.select(*own, F.col("_id").alias("_from"))
         .withColumn(PIECE, F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id()),
         "spread",
@@ -237,18 +237,23 @@ def _number_spread(
         .withColumn("_before", F.coalesce(F.sum(ROWS).over(before), F.lit(0)))
     )
     nth = F.row_number().over(Window.partitionBy(*in_piece).orderBy("_row"))
-    numbered = (
-        attach(rows.withColumn("_nth", nth), shift, in_piece, null_safe=True)
-        .withColumn("_id", F.col("_from") + F.col("_before") + F.col("_nth") - 1)
+    numbered = attach(
+        rows.withColumn("_nth", nth), shift, in_piece, null_safe=True
+    ).withColumn("_id", F.col("_from") + F.col("_before") + F.col("_nth") - 1)
+    # the first copy may end the stay before, the last may begin the one after;
+    # copies between them have only their own dates
+    edges = groups.select("_id", "_stay_start", "_stay_end", F.lit(True).alias("_is_edge"))
+    joined = numbered.join(edges, "_id", "left")
+    return joined.withColumns(
+        {
+            "_stay_start": F.when(F.col("_is_edge"), F.col("_stay_start")).otherwise(
+                F.col(keys[1])
+            ),
+            "_stay_end": F.when(F.col("_is_edge"), F.col("_stay_end")).otherwise(
+                F.col(keys[2])
+            ),
+        }
     )
-    edges = spread.select("_id", "_stay_start", "_stay_end", F.lit(True).alias("_is_edge"))
-    numbered = numbered.join(edges, "_id", "left")
-    value = {
-        "_id": F.col("_id"),
-        "_stay_start": F.when(F.col("_is_edge"), F.col("_stay_start")).otherwise(F.col(keys[1])),
-        "_stay_end": F.when(F.col("_is_edge"), F.col("_stay_end")).otherwise(F.col(keys[2])),
-    }
-    return numbered.select(*df.columns, *[value[c].alias(name) for name, c in given.items()])
 
 
 def consolidate_stays(
