@@ -42,7 +42,9 @@ def is_email(c: str | Column) -> Column:
 def is_company_number(c: str | Column) -> Column:
     """Fourteen digits, not all alike, whose last two are their check digits."""
     c = as_col(c)
-    digit = [F.substring(c, i + 1, 1).try_cast("int") for i in range(14)]
+    number = c.try_cast("bigint")
+    # digits by division: far cheaper than cutting the text up
+    digit = [F.call_function("div", number, F.lit(10 ** (13 - i))) % 10 for i in range(14)]
 
     def check(place: int) -> Column:
         # weights run 2..9 and start over, counted leftwards from the check digit

@@ -124,6 +124,11 @@ def normalize_text_keep_signs(spark, folder):
     return normalize.normalize_text(table(spark, folder, "documents"), ["text"], removed=())
 
 
+@query
+def normalize_text_by_table(spark, folder):
+    return normalize.normalize_by_table(table(spark, folder, "documents"), ["text"])
+
+
 @query
 def clean_description(spark, folder):
     return normalize.clean_descriptions(table(spark, folder, "documents"), ["text"]).select(

@@ -115,6 +115,21 @@ def test_clean_description(spark, given, want):
     assert one(spark, text.clean_description("c"), given) == want
 
 
+@pytest.mark.parametrize(
+    ("given", "want"),
+    [
+        ("AÇÃO nº1", "ACAO N 1"),
+        ("ação", "AÇÃO"),
+        ("a;b,c#d*e\\f", "ABCDEF"),
+        ("s 0 1 ]", "S 0 1  "),  # letters and digits stay
+        ("a\tb", "A B"),
+        (None, None),
+    ],
+)
+def test_fold_by_table(spark, given, want):
+    assert one(spark, text.fold_by_table("c"), given) == want
+
+
 @pytest.mark.parametrize(
     ("rule", "good", "bad"),
     [
