@@ -118,6 +118,7 @@ def consolidate(
     without a unit or in a unit without a value.
     """
     out = out or f"{attribute}_CORRIGIDA"
+    df = df.drop(out)
     if ties == "all":
         lookup = tied_attributes(
             df, attribute, unit, value=value, agg=agg, parse=parse, out=out

@@ -16,6 +16,8 @@ from carespan.operators import policy, quality, reports, shape, stays
 from carespan.plans.claims import RAW_COLUMNS
 from carespan.plans.pipeline import run_pipeline
 from carespan.plans.session import tune
+from carespan.sources import tables
+from carespan.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -224,6 +226,13 @@ def client_code_report(spark, folder):
 # --- stays ----------------------------------------------------------------
 
 
+@query
+def fill_stay_dates(spark, folder):
+    return stays.fill_stay_dates(dated_claims(spark, folder)).select(
+        "COD_CONTROLE", "NR_LINHA", "DT_INTERNACAO", "DT_ALTA"
+    )
+
+
 @query
 def repair_dates(spark, folder):
     return stays.repair_dates(dated_claims(spark, folder)).select(
@@ -504,6 +513,15 @@ def code_tables_union(spark, folder):
     return codes.combine_code_tables(_code_tables(spark, folder), attributes)
 
 
+@query
+def code_table_folder(spark, folder):
+    """The code tables written to a folder, found and read again, and combined."""
+    root = new_path(spark, "code-tables")
+    for name, df in _code_tables(spark, folder).items():
+        df.write.parquet(f"{root}/{name.replace('_', ' ').lower()}")
+    return codes.combine_code_tables(tables.read_code_tables(spark, root))
+
+
 def _edges(spark, folder):
     return (
         table(spark, folder, "part")
@@ -596,6 +614,15 @@ def policy_holder_intended(spark, folder):
 # --- shape, checks, reports ---------------------------------------------------
 
 
+@query
+def csv_round_trip(spark, folder):
+    """Customers written as CSV with an index column, and read as all-text claims."""
+    path = new_path(spark, "csv")
+    df = table(spark, folder, "customer").withColumn("Unnamed: 0", F.lit("0"))
+    tables.write_csv(tables.all_text(df), path)
+    return tables.read_claims_csv(spark, path, columns=df.columns)
+
+
 @query
 def translate_columns(spark, folder):
     names = {"c_custkey": "COD_CLIENTE", "c_name": "NOME", "c_nationkey": "UF", "absent": "X"}

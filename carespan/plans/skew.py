@@ -11,9 +11,10 @@ total count while writing, and picks the join:
   times ``limit`` rows, and its lookup rows are repeated once per salt. The facts
   are still read once, and no task gets more than about ``limit`` rows of a key.
 
-Fewer than ``1 / HOT_SHARE`` keys can each hold more than ``HOT_SHARE`` of the
-rows, so the list of hot keys sent to all tasks has at most that many rows, and
-the salts of all of them add up to at most twice that.
+The limit is the larger of ``HOT_ROWS`` and ``1 / HOT_KEYS`` of all rows. Fewer than
+``HOT_KEYS`` keys can each hold more than that share, so the list of hot keys sent to
+all tasks has at most that many rows, and the salts of all of them add up to at most
+twice that. At 10^12 rows the limit is 10^7, an average partition of 100,000.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from carespan.sources.staging import stage_and_measure
 
 ROWS = "_rows_of_key"
 SALT, SALTS = "_salt", "_salts"
-HOT_SHARE = 1 / 2000
+HOT_KEYS = 100_000  # at most this many keys can be hot
 HOT_ROWS = 1_000_000  # below this a key is no burden for one task
 
 
@@ -98,7 +99,7 @@ def hot_limit(seen: Mapping) -> float | None:
     """Rows above which a key is hot, or None where no key is; from top and total."""
     if seen.get("top") is None:
         return None  # an empty table
-    limit = max(HOT_ROWS, seen["total"] * HOT_SHARE)
+    limit = max(HOT_ROWS, seen["total"] / HOT_KEYS)
     return limit if seen["top"] > limit else None
 
 

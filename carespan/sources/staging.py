@@ -28,11 +28,16 @@ def staging_root(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the staging folder that nothing has used."""
+    app = spark.sparkContext.applicationId
+    return f"{staging_root(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` and read it back."""
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{staging_root(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

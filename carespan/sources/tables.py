@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +49,21 @@ def table_name(file_name: str) -> str:
 def read_code_tables(
     spark: SparkSession, root: str, *, fmt: str = "parquet"
 ) -> Mapping[str, DataFrame]:
-    """All code tables of a folder, by table name: one Parquet or CSV file each."""
-    files = (
+    """All code tables of a folder, by table name: a file or a folder of files each."""
+    paths = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*.{fmt}")
+        .option("recursiveFileLookup", True)
         .load(root)
         .select("path")  # names only, the files are not read
-        .distinct()
         .collect()
     )
+    inside = urlparse(root).path.rstrip("/") + "/"
+    entries = sorted({p.path.split(inside, 1)[1].split("/")[0] for p in paths})
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     return {
-        table_name(f.path): reader.format(fmt).load(f.path)
-        for f in sorted(files, key=lambda f: f.path)
+        table_name(entry): reader.format(fmt).load(f"{root.rstrip('/')}/{entry}")
+        for entry in map(unquote, entries)
     }
 
 

@@ -32,7 +32,7 @@ def spark(tmp_path_factory):
 def hot(monkeypatch):
     """Every key with more than two rows counts as hot."""
     monkeypatch.setattr(skew, "HOT_ROWS", 2)
-    monkeypatch.setattr(skew, "HOT_SHARE", 0.0)
+    monkeypatch.setattr(skew, "HOT_KEYS", 10**9)
 
 
 def rows(df, *columns):
