@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.functions.values import read_value
-from carespan.plans.skew import ROWS, attach, row_count
-from carespan.sources.staging import stage
+from carespan.plans.skew import attach, attach_measured, row_count, stage_lookup
 
 FOUND = "_has_value"
 
@@ -67,7 +66,7 @@ def top_attributes(
     )
 
 
-def tied_attributes(
+def _attach_tied(
     df: DataFrame,
     attribute: str,
     unit: str,
@@ -75,25 +74,21 @@ def tied_attributes(
     value: str,
     agg: str,
     parse: str,
+    how: str,
     out: str,
 ) -> DataFrame:
-    """All distinct (unit, attribute) found at the unit's extreme value."""
+    """Attach every distinct attribute found at the unit's extreme value."""
     extreme = {"max": F.max, "min": F.min}[DIRECTIONS[agg]]
-    pairs = stage(
-        df.filter(F.col(unit).isNotNull())
-        .groupBy(unit, F.col(attribute).alias(out))
-        .agg(extreme(read_value(value, parse)).alias("_value"), F.count(F.lit(1)).alias("_n")),
-        "pairs",
-    )
-    # hot here means: many different attributes in one unit
-    tops = pairs.groupBy(unit).agg(
-        extreme("_value").alias("_top"), F.sum("_n").alias("_total"), row_count()
-    )
-    return (
-        attach(pairs, tops, [unit])
+    v = read_value(value, parse)
+    tops, limit = stage_lookup(df.groupBy(unit).agg(extreme(v).alias("_top"), row_count()))
+    rows = df.select(unit, F.col(attribute).alias(out), v.alias("_value"))
+    found = (
+        attach_measured(rows, tops, [unit], limit)
         .filter(F.col("_value") == F.col("_top"))
-        .select(unit, out, F.col("_total").alias(ROWS))
+        .select(unit, out)
+        .distinct()
     )
+    return attach_measured(df, found, [unit], limit, sizes=tops, how=how)
 
 
 def consolidate(
@@ -120,10 +115,9 @@ def consolidate(
     out = out or f"{attribute}_CORRIGIDA"
     df = df.drop(out)
     if ties == "all":
-        lookup = tied_attributes(
-            df, attribute, unit, value=value, agg=agg, parse=parse, out=out
+        result = _attach_tied(
+            df, attribute, unit, value=value, agg=agg, parse=parse, how=how, out=out
         )
-        result = attach(df, lookup, [unit], how=how)
     elif ties == "one":
         lookup = top_attributes(df, [attribute], unit, value=value, agg=agg, parse=parse)
         lookup = lookup.withColumnRenamed(f"{attribute}_CORRIGIDA", out)

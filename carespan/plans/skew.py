@@ -45,11 +45,16 @@ def attach(
     null_safe: bool = False,
 ) -> DataFrame:
     """Join ``lookup`` to ``facts`` on equally named ``keys``; facts' columns first."""
+    lookup, limit = stage_lookup(lookup)
+    return attach_measured(facts, lookup, keys, limit, how=how, null_safe=null_safe)
+
+
+def stage_lookup(lookup: DataFrame) -> tuple[DataFrame, float | None]:
+    """A staged lookup table and its hot limit."""
     lookup, seen = stage_and_measure(
         lookup, "lookup", top=F.max(ROWS), total=F.sum(ROWS)
     )
-    limit = hot_limit(seen)
-    return attach_measured(facts, lookup, keys, limit, how=how, null_safe=null_safe)
+    return lookup, hot_limit(seen)
 
 
 def attach_measured(
@@ -58,16 +63,21 @@ def attach_measured(
     keys: Sequence[str],
     limit: float | None,
     *,
+    sizes: DataFrame | None = None,
     how: str = "inner",
     null_safe: bool = False,
 ) -> DataFrame:
-    """``attach`` where the hot limit of a repeatable ``lookup`` is known."""
+    """``attach`` where the hot limit of a repeatable ``lookup`` is known.
+
+    ``sizes`` holds the keys' counts where the lookup does not.
+    """
     keys = list(keys)
     if limit is None:
         return _join(facts, lookup.drop(ROWS), keys, how, null_safe)
 
+    sizes = lookup if sizes is None else sizes
     hot = F.broadcast(
-        lookup.filter(F.col(ROWS) > limit)
+        sizes.filter(F.col(ROWS) > limit)
         .groupBy(*keys)
         .agg(F.ceil(F.max(ROWS) / limit).cast("int").alias(SALTS))
     )
