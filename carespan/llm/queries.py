@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import mixing, url_filter
+from carespan.llm import mixing, quality, toxicity, url_filter
 from carespan.llm.common import WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
@@ -20,6 +20,11 @@ def query(function):
     return function
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -42,6 +47,11 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages").select("page_id", "url"))
 
 
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 ORACLES: dict[str, str] = {
     "op7_mixing": rf"""
         WITH docs AS (

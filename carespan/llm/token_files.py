@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carespan.llm.common import kept_text
-from carespan.llm.word_cache import WordCache
+from carespan.llm.word_cache import of_tokenizer
 
 MAGIC = b"TOKIDS01"
 HEADER = np.dtype([("magic", "S8"), ("width", "<u4"), ("piece", "<u4"), ("seq", "<u4"), ("docs", "<u8"), ("ids", "<u8")])
@@ -161,7 +161,7 @@ def encoder(tokenizer_path: str, end_id: int, shard_ids: int):
     """Encodes rows (key, text) and packs them into shards, in the order they come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, piece, seq = WordCache.of_tokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
+        words, piece, seq = of_tokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], words.dtype).tobytes()
         keys: list[int | None] = []
         parts: list[bytes] = []
@@ -177,9 +177,10 @@ def encoder(tokenizer_path: str, end_id: int, shard_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([out.to_bytes()], pa.binary())], ["blob"])
 
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            texts = (t.as_py() for t in b.column(1))
+            for key, ids in zip(b.column(0).to_pylist(), words.encode(texts), strict=True):
                 keys.append(key)
-                parts.append(words.encode(text) + end)
+                parts.append(ids + end)
                 size += len(parts[-1])
                 if size >= shard_ids * words.dtype.itemsize:
                     yield shard()
@@ -253,7 +254,7 @@ class TokenFiles:
         key: str = "doc_id",
         text: str = "text",
         end_id: int = 0,
-        shard_ids: int = 4_000_000,
+        shard_ids: int = 1_000_000,
         bucket_keys: int = 2_000,
     ) -> TokenFiles:
         """Encode ``docs`` in ascending key order, ``end_id`` after each document.

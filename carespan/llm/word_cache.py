@@ -1,20 +1,24 @@
 """Encoding with a table of words already encoded.
 
 A pre-tokeniser cuts a text at word boundaries before anything is merged, so the parts
-can be encoded one by one; most of them have come before. Parts that have not are
-handed to the library in one batch.
+can be encoded one by one; most of them have come before. The parts of a group of texts
+that are new are encoded in one call as one text. The table lives as long as its Python worker; a part that is not met
+again within some hundred thousand new ones is forgotten.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 
 #: a byte-level pre-tokeniser always begins a token at a space that a letter follows
 WORD_START = re.compile(r" (?=[^\W\d_])")
-WORDS_KEPT = 300_000  # beyond so many the table is begun anew
+WORDS_KEPT = 300_000
+GROUP_CHARS = 2_000_000
+JOINED = 2_000  # new parts in one text
 
 
 class WordCache:
@@ -23,42 +27,88 @@ class WordCache:
     def __init__(
         self,
         split: Callable[[str], list[str]],
-        encode_batch: Callable[[list[str]], Sequence[Sequence[int]]],
-        vocabulary: int,
+        encode_parts: Callable[[list[str]], list[bytes]],
+        dtype: np.dtype,
     ) -> None:
-        self.split, self.encode_batch = split, encode_batch
-        self.dtype = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+        self.split, self.encode_parts, self.dtype = split, encode_parts, dtype
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    @classmethod
-    def of_tokenizer(cls, path: str) -> WordCache:
-        """For a byte-level tokenizers file; special strings in a text are plain text."""
-        from tokenizers import Tokenizer
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            group.append(self.split(text))
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self._encode(group)
+                group, size = [], 0
+        yield from self._encode(group)
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
+    def _encode(self, group: list[list[str]]) -> Iterator[bytes]:
+        if len(self.known) > WORDS_KEPT:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = {p for parts in group for p in parts if p not in known}
+        met = new & older.keys()
+        known.update((p, older[p]) for p in met)
+        fresh = list(new - met)
+        known.update(zip(fresh, self.encode_parts(fresh), strict=True))
+        for parts in group:
+            yield b"".join([known[p] for p in parts])
 
-        def encode(parts: list[str]) -> list[list[int]]:
-            return [e.ids for e in t.encode_batch_fast(parts, add_special_tokens=False)]
 
-        return cls(split_words, encode, t.get_vocab_size())
+def split_words(text: str) -> list[str]:
+    first, *rest = WORD_START.split(text)
+    return [first, *[" " + p for p in rest]]
 
-    def encode(self, text: str) -> bytes:
-        parts = self.split(text)
-        known = self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        fresh = list({p for p in parts if p not in known})
-        if len(known) + len(fresh) > WORDS_KEPT:
-            known.clear()
-            fresh = list(set(parts))
-        for p, ids in zip(fresh, self.encode_batch(fresh), strict=True):
-            known[p] = np.array(ids, self.dtype).tobytes()
-        return b"".join([known[p] for p in parts])
 
+def token_bytes(tokenizer) -> np.ndarray:
+    """How many bytes of text each id stands for; a byte-level token has a character a byte."""
+    out = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        out[i] = len(token)
+    return out
 
-def split_words(text: str) -> list[str]:
-    parts = WORD_START.split(text)
-    return [parts[0], *[f" {p}" for p in parts[1:]]]
+
+def part_encoder(tokenizer, dtype: np.dtype) -> Callable[[list[str]], list[bytes]]:
+    """Encodes parts, many at a time as one text; the ids' bytes tell where a part ends."""
+    tokenizer.encode_special_tokens = True  # special strings in a text are plain text
+    sizes, width = token_bytes(tokenizer), dtype.itemsize
+
+    def one_by_one(parts: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(e.ids, dtype).tobytes() for e in found]
+
+    def together(parts: list[str]) -> list[bytes]:
+        ids = np.array(tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, np.int64)
+        reached = np.cumsum(sizes[ids])
+        ends = np.cumsum([len(p.encode()) for p in parts])
+        at = np.searchsorted(reached, ends)
+        if not len(ids) or at[-1] >= len(ids) or (reached[at] != ends).any():
+            return one_by_one(parts)
+        raw, stops = ids.astype(dtype).tobytes(), ((at + 1) * width).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+    def encode(parts: list[str]) -> list[bytes]:
+        # only a part that begins with a space can stand behind another
+        known = {p: None for p in parts if WORD_START.match(p)}
+        words, others = list(known), [p for p in parts if p not in known]
+        out: dict[str, bytes] = {}
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            out.update(zip(some, together(some), strict=True))
+        out.update(zip(others, one_by_one(others), strict=True))
+        return [out[p] for p in parts]
+
+    return encode
+
+
+@lru_cache(maxsize=2)
+def of_tokenizer(path: str) -> WordCache:
+    """For a byte-level tokenizers file; one table a worker."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
+    return WordCache(split_words, part_encoder(t, dtype), dtype)
