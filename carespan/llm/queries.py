@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import mixing, quality, toxicity, url_filter
+from carespan.llm import mixing, quality, setsketch, toxicity, url_filter
 from carespan.llm.common import WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
@@ -52,6 +52,11 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, folder, "documents")).drop("h1", "h2")
+
+
 ORACLES: dict[str, str] = {
     "op7_mixing": rf"""
         WITH docs AS (
