@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import mixing, quality, setsketch, toxicity, url_filter
+from carespan.llm import mixing, quality, sentencepiece_codec, setsketch, toxicity, url_filter
 from carespan.llm.common import WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
@@ -25,6 +25,13 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = sentencepiece_codec.encode_rows(docs, tokenizer_file("piece_bpe_32k.model"))
+    return encoded.drop("text", "ids")
+
+
 @query
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -360,3 +360,37 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         "h1",
         "h2",
     )
+
+
+def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds h1, h2 and n of the text's set to (row, id, text)."""
+    hashes = WordHashes()
+    for b, texts in text_groups(batches, "text"):
+        elements, sizes = shingle_sets(texts, hashes)
+        h1, h2 = (pa.array(h.astype(np.int64)) for h in set_digests(elements, sizes))
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), h1, h2, pa.array(sizes.astype(np.int64))], ["row", "id", "h1", "h2", "n"])
+
+
+def without_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, all columns: the one of the least id.
+
+    Rows without an id come after all others in a component; of rows alike in id and
+    set, one stays. Rows without words are linked with nothing and all stay.
+    """
+    found = near_duplicates(docs, key=key, text=text)
+    digest = ["h1", "h2", "n_shingles"]
+    order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "h1", "h2")
+    # a component without any id is one set or more; its sets' digests stand in for the id
+    group = [F.col("component_id"), *(F.when(F.col("component_id").isNull(), F.col(c)) for c in ("h1", "h2"))]
+    first = found.filter("n_shingles > 0").select(*[g.alias(f"g{i}") for i, g in enumerate(group)], "doc_id", *digest)
+    first = first.groupBy("g0", "g1", "g2").agg(F.min_by(F.struct("doc_id", *digest), order).alias("first"))
+    winners = first.select("first.*").withColumnRenamed("doc_id", "id")
+    winners = stage(winners.select("id", *[F.col(c).alias(f"w{i}") for i, c in enumerate(digest)]), "winners")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), kept_text(F.col(text)).alias("text"))
+    schema = rows.drop("text").schema.add("h1", "long").add("h2", "long").add("n", "long")
+    rows = rows.mapInArrow(digest_rows, schema)
+    same = rows.id.eqNullSafe(winners.id) & (F.col("h1") == F.col("w0")) & (F.col("h2") == F.col("w1")) & (F.col("n") == F.col("w2"))
+    chosen = rows.filter("n > 0").join(winners, same, "left_semi")
+    line = Window.partitionBy("id", "h1", "h2").orderBy("n")
+    chosen = chosen.withColumn("copy", F.row_number().over(line)).filter("copy = 1")
+    return chosen.select("row.*").unionByName(rows.filter("n = 0").select("row.*"))

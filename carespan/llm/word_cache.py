@@ -71,17 +71,22 @@ def token_bytes(tokenizer) -> np.ndarray:
     return out
 
 
-def part_encoder(tokenizer, dtype: np.dtype) -> Callable[[list[str]], list[bytes]]:
-    """Encodes parts, many at a time as one text; the ids' bytes tell where a part ends."""
-    tokenizer.encode_special_tokens = True  # special strings in a text are plain text
-    sizes, width = token_bytes(tokenizer), dtype.itemsize
+def part_encoder(
+    tokenizer, dtype: np.dtype, sizes: np.ndarray, follows: Callable[[str], object]
+) -> Callable[[list[str]], list[bytes]]:
+    """Encodes parts, many at a time as one text; the ids' bytes tell where a part ends.
+
+    ``sizes``: bytes of text of each id. ``follows``: whether a part can stand behind
+    another without changing either.
+    """
+    width = dtype.itemsize
 
     def one_by_one(parts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, dtype).tobytes() for e in found]
 
-    def together(parts: list[str]) -> list[bytes]:
-        ids = np.array(tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, np.int64)
+    def cut(parts: list[str], ids: list[int]) -> list[bytes]:
+        ids = np.array(ids, np.int64)
         reached = np.cumsum(sizes[ids])
         ends = np.cumsum([len(p.encode()) for p in parts])
         at = np.searchsorted(reached, ends)
@@ -91,15 +96,15 @@ def part_encoder(tokenizer, dtype: np.dtype) -> Callable[[list[str]], list[bytes
         return [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
 
     def encode(parts: list[str]) -> list[bytes]:
-        # only a part that begins with a space can stand behind another
-        known = {p: None for p in parts if WORD_START.match(p)}
-        words, others = list(known), [p for p in parts if p not in known]
-        out: dict[str, bytes] = {}
-        for at in range(0, len(words), JOINED):
-            some = words[at : at + JOINED]
-            out.update(zip(some, together(some), strict=True))
-        out.update(zip(others, one_by_one(others), strict=True))
-        return [out[p] for p in parts]
+        words = {p: b"" for p in parts if follows(p)}
+        others = [p for p in parts if p not in words]
+        line = list(words)
+        groups = [line[at : at + JOINED] for at in range(0, len(line), JOINED)]
+        found = tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, found, strict=True):
+            words.update(zip(group, cut(group, e.ids), strict=True))
+        words.update(zip(others, one_by_one(others), strict=True))
+        return [words[p] for p in parts]
 
     return encode
 
@@ -110,5 +115,6 @@ def of_tokenizer(path: str) -> WordCache:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True  # special strings in a text are plain text
     dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
-    return WordCache(split_words, part_encoder(t, dtype), dtype)
+    return WordCache(split_words, part_encoder(t, dtype, token_bytes(t), WORD_START.match), dtype)

@@ -10,10 +10,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carespan.llm import mixing
+from carespan.llm import mixing, quality, sentencepiece_codec, setsketch, toxicity
+from carespan.llm.common import table, tokenizer_file
 from carespan.sources.staging import new_path
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the quality classifier rejects."""
+    return quality.without_poor(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the toxicity classifier rejects."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return setsketch.without_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +35,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, checked by decoding them."""
+    encoded = sentencepiece_codec.encode_rows(docs, tokenizer_file("piece_bpe_32k.model"))
+    return encoded.drop("text", "n_chars")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_good),
+    ("toxicity", drop_toxic),
+    ("near_dedup", keep_one_of_each),
     ("mixing", mix_sources),
+    ("sentencepiece", encode),
 ]
 
 #: a classifier's and a sketch's decisions have no SQL; tests compare with plain programs
