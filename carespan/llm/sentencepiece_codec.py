@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carespan.llm.common import kept_text
-from carespan.llm.word_cache import WordCache, part_encoder
+from carespan.llm.word_cache import FIRST, WordCache, part_encoder
 
 MARKER = "▁"
 #: kinds of pieces and models, as the message numbers them (fixed values)
@@ -172,6 +172,14 @@ class PieceModel:
         return out
 
 
+def split_pieces(normalized: str) -> list[str]:
+    """Keys of the parts of a normalised text, cut before each run of markers."""
+    if normalized[:1] == MARKER != normalized[-1:] and MARKER * 2 not in normalized:
+        return normalized[1:].split(MARKER)
+    parts = _PART.findall(normalized)
+    return [p[1:] if p[0] == MARKER != p[1:2] and len(p) > 1 else FIRST + p for p in parts]
+
+
 class Codec:
     """Encodes and decodes whole texts; one a Python worker."""
 
@@ -202,11 +210,7 @@ class Codec:
                     out[i] = wanted
             return out
 
-        self.words = WordCache(self.split, verified, self.dtype)
-
-    @staticmethod
-    def split(normalized: str) -> list[str]:
-        return _PART.findall(normalized)
+        self.words = WordCache(split_pieces, verified, self.dtype, MARKER)
 
     def encode(self, texts: list[str]) -> tuple[list[str], list[bytes]]:
         """Normalised texts and their ids, as bytes."""
@@ -222,7 +226,7 @@ class Codec:
 
     def differ(self, normalized: str) -> bool:
         """Whether a part of the text was one on which the libraries differ."""
-        return bool(self.differing) and any(p in self.differing for p in self.split(normalized))
+        return bool(self.differing) and any(p in self.differing for p in _PART.findall(normalized))
 
 
 @lru_cache(maxsize=2)

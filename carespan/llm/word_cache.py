@@ -9,6 +9,7 @@ again within some hundred thousand new ones is forgotten.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -16,24 +17,36 @@ import numpy as np
 
 #: a byte-level pre-tokeniser always begins a token at a space that a letter follows
 WORD_START = re.compile(r" (?=[^\W\d_])")
+ODD_SPACE = re.compile(r" (?![^\W\d_])")
+#: a space and a whole run of letters, all of them Latin: no later letter may follow
+LATIN_WORD = re.compile(r" [A-Za-zªµºÀ-ÖØ-öø-ɏ]+(?![^\W\d_]|[^\x00-\u024f])")
+FIRST = "\0"  # begins the key of a part that no space of its own stands before
 WORDS_KEPT = 300_000
 GROUP_CHARS = 2_000_000
 JOINED = 2_000  # new parts in one text
 
 
 class WordCache:
-    """Ids of whole texts, as bytes of ``dtype``, put together from parts."""
+    """Ids of whole texts, as bytes of ``dtype``, put together from parts.
+
+    ``split`` cuts a text into keys; ``encode_parts`` gets the texts that keys stand for.
+    A key stands for ``space`` and itself, or, after the sign FIRST, for what follows it.
+    """
 
     def __init__(
         self,
         split: Callable[[str], list[str]],
         encode_parts: Callable[[list[str]], list[bytes]],
         dtype: np.dtype,
+        space: str = " ",
     ) -> None:
-        self.split, self.encode_parts, self.dtype = split, encode_parts, dtype
+        self.split, self.encode_parts, self.dtype, self.space = split, encode_parts, dtype, space
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def part(self, key: str) -> str:
+        return key[1:] if key[:1] == FIRST else self.space + key
+
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         group: list[list[str]] = []
         size = 0
@@ -49,26 +62,60 @@ class WordCache:
         if len(self.known) > WORDS_KEPT:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new = {p for parts in group for p in parts if p not in known}
+        new = set().union(*group) - known.keys()
         met = new & older.keys()
-        known.update((p, older[p]) for p in met)
+        known.update((k, older[k]) for k in met)
         fresh = list(new - met)
-        known.update(zip(fresh, self.encode_parts(fresh), strict=True))
-        for parts in group:
-            yield b"".join([known[p] for p in parts])
+        known.update(zip(fresh, self.encode_parts([self.part(k) for k in fresh]), strict=True))
+        for keys in group:
+            yield b"".join([known[k] for k in keys])
 
 
 def split_words(text: str) -> list[str]:
-    first, *rest = WORD_START.split(text)
-    return [first, *[" " + p for p in rest]]
+    """Keys of a text's words; a space that no letter follows stays inside a part."""
+    words = text.split(" ") if ODD_SPACE.search(text) is None else WORD_START.split(text)
+    words[0] = FIRST + words[0]
+    return words
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Printable Latin-1 signs stand for themselves, the others, in order, for the
+    characters from 256 on.
+    """
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def token_bytes(tokenizer) -> np.ndarray:
-    """How many bytes of text each id stands for; a byte-level token has a character a byte."""
-    out = np.zeros(tokenizer.get_vocab_size(), np.int64)
-    for token, i in tokenizer.get_vocab().items():
-        out[i] = len(token)
-    return out
+def word_encoder(tokenizer, dtype: np.dtype) -> Callable[[list[str]], list[bytes]]:
+    """Encodes parts with a byte-level tokenizer, and its words with its model alone.
+
+    A space with Latin letters is one token of the pre-tokeniser, which the model can
+    merge at once; what stands behind it, and any other part, goes through the whole
+    tokenizer.
+    """
+    letters, merge = byte_letters(), tokenizer.model.tokenize
+
+    def encode(parts: list[str]) -> list[bytes]:
+        heads = [LATIN_WORD.match(p) for p in parts]
+        tails = [p[m.end() :] if m else p for p, m in zip(parts, heads, strict=True)]
+        other = list({t for t in tails if t})
+        found = tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        known = {t: np.array(e.ids, dtype).tobytes() for t, e in zip(other, found, strict=True)}
+        known[""] = b""
+        out = []
+        for m, tail in zip(heads, tails, strict=True):
+            if m:
+                spelled = m[0].encode().decode("latin-1").translate(letters)
+                ids = array(dtype.char, [t.id for t in merge(spelled)]).tobytes()
+                out.append(ids + known[tail])
+            else:
+                out.append(known[tail])
+        return out
+
+    return encode
 
 
 def part_encoder(
@@ -117,4 +164,4 @@ def of_tokenizer(path: str) -> WordCache:
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # special strings in a text are plain text
     dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
-    return WordCache(split_words, part_encoder(t, dtype, token_bytes(t), WORD_START.match), dtype)
+    return WordCache(split_words, word_encoder(t, dtype), dtype)
