@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import attention_lm, mixing, nn_descent, quality, sentencepiece_codec, setsketch, toxicity, url_filter
+from carespan.llm import attention_lm, bm25, mixing, nn_descent, quality, sentencepiece_codec, setsketch, toxicity, url_filter
 from carespan.llm.common import WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
@@ -32,6 +32,11 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.drop("text", "ids")
 
 
+@query
+def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return bm25.like_documents(table(spark, folder, "documents"), F.col("doc_id") % 50 == 0)
+
+
 @query
 def op4_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nn_descent.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
