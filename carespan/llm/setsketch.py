@@ -9,11 +9,12 @@ about as often as their Jaccard similarity says. The steps:
 2. Bands of ROWS registers are hashed; classes that share a band are candidates.
 3. In each band value one class, the hub, is paired with the others. Pairs whose
    similarity, by the likelihood of all registers together, cannot be the threshold are
-   left out; the rest is verified on full sets. Links join components.
-4. Band values whose classes lie in more than one component go round again with further
-   hubs, twice as many each time, until every pair that shares a band has been verified
-   or lies in one component. Large groups of copies are joined by their first hubs, so
-   their pairs are never listed.
+   left out; the rest is verified on full sets. Links join components. Groups of copies
+   are joined by their hubs, so their pairs are never listed.
+4. In band values whose other classes still lie in more than one component, all pairs
+   across components are looked at: as rows where a band value has few classes; in
+   blocks, inside tasks, where it has many. So every two classes that share a band are
+   verified or lie in one component.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BANDS = M // ROWS
 BASE, RATE, LARGEST = 1.001, 20.0, 2**16 - 1  # scale of the registers
 THRESHOLD = (75, 100)  # least share of the union that is common, as a fraction
 MARGIN = 6  # standard deviations that an estimate may lie below the threshold
+SMALL = 32  # classes of a band value whose pairs are made as rows
+CHUNK_ROWS, CHUNK_BYTES = 128, 8 << 20  # of a group's members that are compared at once
 GROUP_WORDS = 200_000  # of texts handled together
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, (2, 64), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -231,15 +234,17 @@ def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.filter(pa.array(same))
 
 
+def enough(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets share the threshold's part of their union."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return THRESHOLD[1] * common >= THRESHOLD[0] * (len(x) + len(y) - common)
+
+
 def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, ea, eb) to the linked pairs a, b, on full sets."""
-    part, whole = THRESHOLD
     for b in batches:
-        keep = []
-        for x, y in zip(b.column("ea"), b.column("eb"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(whole * common >= part * (len(x) + len(y) - common))
+        sides = ([np.frombuffer(e.as_buffer(), np.uint64) for e in b.column(c)] for c in ("ea", "eb"))
+        keep = [enough(x, y) for x, y in zip(*sides, strict=True)]
         yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -289,16 +294,76 @@ def named(side: str) -> list[Column]:
     return [F.col("cid").alias(side), F.col("root").alias(f"root_{side}"), F.col("n").alias(f"n_{side}")]
 
 
+def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one band that lie in different components and may be alike."""
+    pairs = left.select("band", *named("a")).join(right.select("band", *named("b")), "band")
+    apart = (F.col("root_a") != F.col("root_b")) & (F.col("a") < F.col("b"))
+    return pairs.filter(apart & near(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+
+
+def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (band, cid, n, root, size) of the bands that hold more than one component."""
+    left = members.select("band", "cid", "n").join(labels.withColumnRenamed("node", "cid"), "cid")
+    open_ = left.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+    open_ = open_.filter("low != high").select("band", "size")
+    return stage(left.join(open_, "band"), "members")
+
+
+def compare_block(rows: pa.Table) -> pa.Table:
+    """Links between the members of two chunks of a group, or inside one.
+
+    The sketches of all pairs are compared, and the sets of those that may be alike.
+    """
+    chunk, i, j = (rows.column(c).to_numpy() for c in ("chunk", "i", "j"))
+    cid, root, n = (rows.column(c).to_numpy() for c in ("cid", "root", "n"))
+    sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, M)
+    first, second = np.flatnonzero(chunk == i[0]), np.flatnonzero(chunk == j[0])
+    least = THRESHOLD[0] / THRESHOLD[1]
+    least -= MARGIN * np.sqrt(least * (1 - least) / M)
+    found = []
+    for x in first:
+        fits = (root[second] != root[x]) & (THRESHOLD[1] * np.minimum(n[second], n[x]) >= THRESHOLD[0] * np.maximum(n[second], n[x]))
+        others = second[fits & ((cid[second] > cid[x]) | (i[0] != j[0]))]
+        # registers agree at least as often as elements are shared
+        others = others[(sketches[others] == sketches[x]).sum(1) >= least * M]
+        found.append(np.column_stack([np.full(len(others), x), others]))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), int)
+    x, y = pairs[:, 0], pairs[:, 1]
+    if len(pairs):
+        alike = estimate(sketches[x], sketches[y], n[x].astype(float), n[y].astype(float)) >= least
+        x, y = x[alike], y[alike]
+    sets = [np.frombuffer(e.as_buffer(), np.uint64) for e in rows.column("elements")]
+    linked = np.array([enough(sets[a], sets[b]) for a, b in zip(x, y, strict=True)], bool)
+    return pa.table({"a": np.minimum(cid[x], cid[y])[linked], "b": np.maximum(cid[x], cid[y])[linked]})
+
+
+def block_links(members: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of large bands that no hub has joined.
+
+    Members of bands that overlap form a group; a group is cut into chunks, and each
+    two chunks are compared in one task, so pairs are never rows.
+    """
+    hub = members.groupBy("band").agg(F.min("cid").alias("a"))
+    groups = components(members.join(hub, "band").select("a", F.col("cid").alias("b")).distinct())
+    rows = members.select("cid", "root").distinct().join(groups.select(F.col("node").alias("cid"), F.col("root").alias("group")), "cid")
+    rows = stage(rows.join(sketches, "cid").join(sets, "cid"), "group-members")
+    weight = F.count(F.lit(1)) / CHUNK_ROWS, F.sum(F.length("elements")) / CHUNK_BYTES
+    chunks = rows.groupBy("group").agg(F.ceil(F.greatest(*weight)).cast("int").alias("chunks"))
+    rows = rows.join(chunks, "group").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunks", "other")
+    return stage(rows.groupBy("group", "i", "j").applyInArrow(compare_block, "a long, b long"), "links")
+
+
 def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
     """(node, root) for the classes that share a band with another class."""
     reps = rows.join(classes.select(F.col("cid").alias("uid")), "uid", "left_semi").filter(F.size("keys") > 0)
     reps = reps.select(F.col("uid").alias("cid"), "id", "h1", "h2", "n", "keys")
     bands = reps.select("cid", "n", F.explode("keys").alias("band"))
     shared = bands.groupBy("band").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
-    shared = shared.filter("low != high").select("band")
+    shared = shared.filter("low != high").select("band", F.col("low").alias("hub"))
     # a row for each class and band value that it shares
-    members = bands.join(shared, "band", "left_semi").withColumn("root", F.col("cid"))
-    members = stage(members, "members")
+    members = stage(bands.join(shared, "band").withColumn("root", F.col("cid")), "members")
     nodes = stage(members.select("cid").distinct(), "nodes")
     wanted = reps.drop("keys", "n").join(nodes, "cid", "left_semi")
     sets = full_sets(docs, key, text, wanted)
@@ -306,29 +371,16 @@ def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, key:
     sketches = stage(sketches, "candidate-sketches")
     labels = stage(nodes.select(F.col("cid").alias("node"), F.col("cid").alias("root")), "labels")
 
-    hubs_a_round, tested = 1, None
-    while True:
-        line = Window.partitionBy("band").orderBy("cid")
-        hubs = members.withColumn("place", F.row_number().over(line)).filter(F.col("place") <= hubs_a_round)
-        hubs = stage(hubs.select("band", *named("a")), "hubs")
-        apart = (F.col("root_a") != F.col("root_b")) & (F.col("a") < F.col("b"))
-        pairs = members.select("band", *named("b")).join(hubs, "band")
-        pairs = pairs.filter(apart & near(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = links(pairs, sketches, sets)
-        if not found.isEmpty():
-            labels = relabelled(labels, found)
-        tested = pairs if tested is None else stage(tested.union(pairs), "tested")
-        # hubs have met every other class of their band
-        left = members.select("band", "cid", "n").join(hubs.select("band", F.col("a").alias("cid")), ["band", "cid"], "left_anti")
-        left = left.join(labels.withColumnRenamed("node", "cid"), "cid")
-        open_ = left.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-        members = stage(left.join(open_.select("band"), "band", "left_semi"), "members")
-        if members.isEmpty():
-            return labels
-        hubs_a_round *= 2
+    # each band's hub with the others; most groups of copies are one component after it
+    hubs = members.filter(F.col("cid") == F.col("hub"))
+    pairs = stage(paired(hubs, members), "pairs")
+    labels = relabelled(labels, links(pairs, sketches, sets))
+    left = unresolved(members.filter(F.col("cid") != F.col("hub")), labels)
+    small = left.filter(F.col("size") <= SMALL)
+    # all further pairs of a small band, at most half of SMALL a member
+    rest = stage(paired(small, small.select(*small.columns)).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    found = links(rest, sketches, sets)
+    return relabelled(labels, found.union(block_links(left.filter(F.col("size") > SMALL), sketches, sets)))
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
