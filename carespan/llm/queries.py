@@ -76,7 +76,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return setsketch.near_duplicates(table(spark, folder, "documents")).drop("h1", "h2")
+    return setsketch.near_duplicates(table(spark, folder, "documents"))
 
 
 ORACLES: dict[str, str] = {

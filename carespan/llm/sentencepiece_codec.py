@@ -174,10 +174,12 @@ class PieceModel:
 
 def split_pieces(normalized: str) -> list[str]:
     """Keys of the parts of a normalised text, cut before each run of markers."""
-    if normalized[:1] == MARKER != normalized[-1:] and MARKER * 2 not in normalized:
+    plain = normalized[:1] == MARKER != normalized[-1:]
+    if plain and MARKER * 2 not in normalized and FIRST not in normalized:
         return normalized[1:].split(MARKER)
+    own = (MARKER, FIRST)  # a key that begins with either would be read as another
     parts = _PART.findall(normalized)
-    return [p[1:] if p[0] == MARKER != p[1:2] and len(p) > 1 else FIRST + p for p in parts]
+    return [p[1:] if p[0] == MARKER and p[1:] and p[1] not in own else FIRST + p for p in parts]
 
 
 class Codec:
@@ -205,7 +207,7 @@ class Codec:
             texts = [p[1:].replace(MARKER, " ") for p in parts]
             for i, ids in enumerate(reference.encode(texts, num_threads=1)):
                 wanted = np.array(ids, self.dtype).tobytes()
-                if parts[i][0] == MARKER and wanted != out[i]:
+                if texts[i] and parts[i][0] == MARKER and wanted != out[i]:
                     self.differing.add(parts[i])
                     out[i] = wanted
             return out

@@ -383,14 +383,10 @@ def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, key:
     return relabelled(labels, found.union(block_links(left.filter(F.col("size") > SMALL), sketches, sets)))
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, h1, h2) for every row of ``docs``.
+def placed_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Every row's id, its set's digests and size, its component's root and least id.
 
-    Rows whose sets share three quarters of their union are linked; ``component_id`` is
-    the least id reachable by links. Null and empty texts have no shingles and are
-    linked with nothing. Rows that share an id are separate rows, joined only if their
-    texts are. A row without an id has the least id of its component, null if there is
-    none, and is never ``kept``.
+    Rows without shingles have no root and their own id.
     """
     rows = sketched(docs, key, text)
     digest = ["h1", "h2", "n"]
@@ -400,17 +396,27 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     placed = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     placed = stage(placed.withColumn("root", F.coalesce("root", "cid")), "classes")
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = stage(placed.join(least, "root").select(*digest, "component_id"), "classes")
+    of_class = stage(placed.join(least, "root").select(*digest, "root", "component_id"), "classes")
     narrow = rows.select("id", *digest)
     full = narrow.filter("n > 0").join(of_class, digest)
-    empty = narrow.filter("n = 0").withColumn("component_id", F.col("id"))
-    return full.unionByName(empty).select(
+    empty = narrow.filter("n = 0").withColumns({"root": F.lit(None).cast("long"), "component_id": F.col("id")})
+    return full.unionByName(empty)
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+
+    Rows whose sets share three quarters of their union are linked; ``component_id`` is
+    the least id reachable by links. Null and empty texts have no shingles and are
+    linked with nothing. Rows that share an id are separate rows, joined only if their
+    texts are. A row without an id has the least id of its component, null if there is
+    none, and is never ``kept``.
+    """
+    return placed_rows(docs, key, text).select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
-        "h1",
-        "h2",
     )
 
 
@@ -429,15 +435,11 @@ def without_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str =
     Rows without an id come after all others in a component; of rows alike in id and
     set, one stays. Rows without words are linked with nothing and all stay.
     """
-    found = near_duplicates(docs, key=key, text=text)
-    digest = ["h1", "h2", "n_shingles"]
-    order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "h1", "h2")
-    # a component without any id is one set or more; its sets' digests stand in for the id
-    group = [F.col("component_id"), *(F.when(F.col("component_id").isNull(), F.col(c)) for c in ("h1", "h2"))]
-    first = found.filter("n_shingles > 0").select(*[g.alias(f"g{i}") for i, g in enumerate(group)], "doc_id", *digest)
-    first = first.groupBy("g0", "g1", "g2").agg(F.min_by(F.struct("doc_id", *digest), order).alias("first"))
-    winners = first.select("first.*").withColumnRenamed("doc_id", "id")
-    winners = stage(winners.select("id", *[F.col(c).alias(f"w{i}") for i, c in enumerate(digest)]), "winners")
+    digest = ["h1", "h2", "n"]
+    found = placed_rows(docs, key, text).filter(F.col("root").isNotNull())
+    order = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), *digest)
+    first = found.groupBy("root").agg(F.min_by(F.struct("id", *digest), order).alias("first")).select("first.*")
+    winners = stage(first.select("id", *[F.col(c).alias(f"w{i}") for i, c in enumerate(digest)]), "winners")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), kept_text(F.col(text)).alias("text"))
     schema = rows.drop("text").schema.add("h1", "long").add("h2", "long").add("n", "long")
     rows = rows.mapInArrow(digest_rows, schema)
