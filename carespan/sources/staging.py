@@ -8,19 +8,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHARED_MOUNT = "spark.carespan.sharedMount"
+_scratch: list[list[str]] = []
 _local_folders: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder the session names; one of our own only in local mode."""
+    """The shared folder the session names; one of our own only in local mode.
+
+    On a cluster a path of the machine itself is refused, unless ``SHARED_MOUNT`` says
+    that it is a mount which all machines share.
+    """
     named = spark.conf.get(CHECKPOINT_DIR, None)
+    local = spark.sparkContext.master.startswith("local")
     if named:
+        own = urlparse(named).scheme == "file"
+        if own and not local and spark.conf.get(SHARED_MOUNT, "false") != "true":
+            raise ValueError(f"{named} is each machine's own; name a shared {CHECKPOINT_DIR}")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
@@ -31,7 +44,23 @@ def staging_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the staging folder that nothing has used."""
     app = spark.sparkContext.applicationId
-    return f"{staging_root(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes what is staged inside, at the end; write the result before that."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scratch.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

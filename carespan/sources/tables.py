@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
+from pathlib import PurePosixPath
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 from carespan.operators.shape import drop_index_columns
 
 
+# on either side: quotes are doubled, blanks stay
+CSV_TEXT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# when reading, a quoted empty text is empty; only what stands for nothing is a gap
+CSV_GAPS = {"emptyValue": "", "nullValue": "\0"}
+
+
 def read_claims_csv(
     spark: SparkSession,
     path: str,
@@ -20,20 +31,24 @@ def read_claims_csv(
     sep: str = ",",
     encoding: str = "UTF-8",
     columns: Iterable[str] | None = None,
-    limit: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Claims from CSV, every column text, without index columns; gaps stay NULL.
 
-    With ``columns`` the files are not opened to find their names. ``limit`` is
-    for a preview.
+    A quote inside a quoted text is doubled, as the upload has it, and a backslash is
+    a plain character. ``""`` is the empty text, nothing between two separators a gap.
+    ``multi_line`` allows line breaks inside quotes; a file is then read by one task,
+    so it should be cut into many. With ``columns`` the files are not opened to find
+    their names.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-    reader = reader.option("multiLine", False).option("mode", "FAILFAST")
+    reader = reader.options(**CSV_TEXT, **CSV_GAPS).option("mode", "FAILFAST")
+    # else every line is cut at any sign for a line break, a lone carriage return too
+    reader = reader.option("multiLine", multi_line)
     if columns is not None:
         schema = StructType([StructField(c, StringType(), True) for c in columns])
         reader = reader.schema(schema).option("enforceSchema", False)
-    df = drop_index_columns(reader.csv(path))
-    return df if limit is None else df.limit(limit)
+    return drop_index_columns(reader.csv(path))
 
 
 def all_text(df: DataFrame) -> DataFrame:
@@ -43,23 +58,27 @@ def all_text(df: DataFrame) -> DataFrame:
 
 def table_name(file_name: str) -> str:
     """``Amb 90.parquet`` to ``AMB_90``."""
-    return re.sub("[^A-Za-z0-9]", "_", file_name.rstrip("/").split("/")[-1].split(".")[0]).upper()
+    stem = PurePosixPath(file_name).name.partition(".")[0]
+    kept = [c if c.isascii() and c.isalnum() else "_" for c in stem]
+    return "".join(kept).upper()
 
 
 def read_code_tables(
     spark: SparkSession, root: str, *, fmt: str = "parquet"
 ) -> Mapping[str, DataFrame]:
     """All code tables of a folder, by table name: a file or a folder of files each."""
-    paths = (
+    inside = urlparse(root).path.rstrip("/") + "/"
+    entry = F.substring_index(F.substring_index("path", inside, -1), "/", 1)
+    found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*.{fmt}")
         .option("recursiveFileLookup", True)
         .load(root)
-        .select("path")  # names only, the files are not read
+        .select(entry.alias("entry"))  # names only, the files are not read
+        .distinct()  # one row a table comes back, however many files it has
         .collect()
     )
-    inside = urlparse(root).path.rstrip("/") + "/"
-    entries = sorted({p.path.split(inside, 1)[1].split("/")[0] for p in paths})
+    entries = sorted(row.entry for row in found)
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     return {
         table_name(entry): reader.format(fmt).load(f"{root.rstrip('/')}/{entry}")
@@ -76,12 +95,20 @@ def save_table(df: DataFrame, name: str, *, temporary: bool = False) -> None:
 
 
 def append_or_create(df: DataFrame, name: str) -> None:
-    """Append the whole batch where the table has rows, else write it anew."""
+    """Append the whole batch where the table has rows, else write it anew.
+
+    The batch must have the table's columns, in any order: a missing or a further one
+    is an error, nothing is left out. Whether the table has rows is looked up before
+    the write, so two runs at once must not share a table.
+    """
     spark = df.sparkSession
-    if spark.catalog.tableExists(name) and not spark.table(name).isEmpty():
-        df.select(*spark.table(name).columns).write.mode("append").saveAsTable(name)
-    else:
+    if not spark.catalog.tableExists(name) or spark.table(name).isEmpty():
         df.write.mode("overwrite").saveAsTable(name)
+        return
+    wanted = spark.table(name).columns
+    if sorted(wanted) != sorted(df.columns):
+        raise ValueError(f"{name} has columns {wanted}, the batch has {df.columns}")
+    df.select(*wanted).write.mode("append").saveAsTable(name)
 
 
 def log_run(
@@ -100,7 +127,9 @@ def log_run(
 
 
 def write_csv(df: DataFrame, path: str, *, encoding: str = "UTF-8") -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    """CSV that ``read_claims_csv`` reads back value for value."""
+    writer = df.write.mode("overwrite").option("header", True).option("encoding", encoding)
+    writer.options(**CSV_TEXT).csv(path)
 
 
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:

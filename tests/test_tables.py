@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -54,7 +57,10 @@ def test_translate_remove_count(spark):
     assert shape.translate_columns(df, {"k": "K", "zz": "Z"}).columns == ["K"]
     assert shape.translate_columns(df, {"k": "K"}, keep_unmapped=True).columns == ["K", "v"]
     assert rows(shape.remove_rows(df, "k", [1])) == [(2, "b")]
-    assert rows(shape.remove_rows(df, "k", [1, *range(10, 2000)]), "k", "v") == [(2, "b")]
+    assert rows(shape.remove_rows(df, "k", [1, *range(10, 2000)])) == [(2, "b")]
+    assert shape.remove_rows(df.select("v", "k"), "k", [1, *range(10, 2000)]).columns == ["v", "k"]
+    assert shape.remove_rows(df, "k", [1, None]).count() == 0
+    assert shape.remove_rows(df, "k", [None, *range(10, 2000)]).count() == 0
     assert shape.remove_rows(df, "k", []).count() == 3
     assert rows(shape.count_rows(df, "t")) == [(3, "t")]
     odd = df.withColumnRenamed("k", "Unnamed: 0")
@@ -114,7 +120,6 @@ def test_csv(spark, tmp_path):
     tables.write_csv(df, folder)
     got = tables.read_claims_csv(spark, folder)
     assert rows(got) == [(None, "x"), ("007", "São")]
-    assert tables.read_claims_csv(spark, folder, limit=1).count() == 1
     named = tables.read_claims_csv(spark, folder, columns=df.columns)
     assert named.columns == ["COD_PREST", "NOME"]
     latin = str(tmp_path / "latin")
@@ -123,6 +128,37 @@ def test_csv(spark, tmp_path):
     assert rows(got, "NOME") == [("São",), ("x",)]
 
 
+def test_csv_keeps_quotes_breaks_and_empty_texts(spark, tmp_path):
+    folder = str(tmp_path / "csv")
+    texts = ['p, "q", r', "two\nlines", "a\\b", "", None, " x ", '"', "\\", "é;"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "n string, t string")
+    tables.write_csv(df, folder)
+    got = tables.read_claims_csv(spark, folder, multi_line=True)
+    assert rows(got) == rows(df)
+    (tmp_path / "upload.csv").write_text('t,n\n"p, ""q"", r",2\n"",3\n,4\n')
+    got = tables.read_claims_csv(spark, str(tmp_path / "upload.csv"))
+    assert rows(got, "n", "t") == [("2", 'p, "q", r'), ("3", ""), ("4", None)]
+
+
+def test_append_refuses_other_columns(spark):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.append_or_create(df, "strict")
+    tables.append_or_create(df.select("v", "k"), "strict")
+    assert spark.table("strict").count() == 2
+    for other in (df.withColumn("w", F.lit(1)), df.drop("v")):
+        with pytest.raises(ValueError, match="columns"):
+            tables.append_or_create(other, "strict")
+    spark.sql("DROP TABLE strict")
+
+
+def test_scratch_folder_is_empty_after_a_run(spark, tmp_path):
+    with staging.scratch(spark):
+        staged = staging.stage(spark.range(5), "inside")
+        path = Path(urlparse(staged.inputFiles()[0]).path).parent
+        assert staged.count() == 5 and path.exists()
+    assert not path.exists()
+
+
 def test_code_table_folder(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "tables" / "CBHPM-5"))
     part = next((tmp_path / "tables" / "CBHPM-5").glob("*.parquet"))
