@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carespan.functions.values import as_col, parse_date
+from carespan.functions.values import as_col, parse_date, parse_number
 
 
 def is_date(c: str | Column) -> Column:
@@ -18,7 +18,7 @@ def is_string(c: str | Column) -> Column:
 
 
 def is_diagnosis(c: str | Column) -> Column:
-    return F.coalesce(as_col(c).rlike(r"^[A-Z]\d{2}$"), F.lit(False))
+    return F.coalesce(as_col(c).rlike(r"^[A-Z]\d{2}\z"), F.lit(False))
 
 
 def is_integer(c: str | Column) -> Column:
@@ -26,7 +26,7 @@ def is_integer(c: str | Column) -> Column:
 
 
 def is_float(c: str | Column) -> Column:
-    return as_col(c).try_cast("double").isNotNull()
+    return parse_number(c).isNotNull()
 
 
 def is_state(c: str | Column) -> Column:
@@ -53,7 +53,7 @@ def is_company_number(c: str | Column) -> Column:
             total = total + digit[i] * (2 + (place - 1 - i) % 8)
         return (total * 10) % 11 % 10 == digit[place]
 
-    good = c.rlike(r"^\d{14}$") & ~c.rlike(r"^(\d)\1{13}$") & check(12) & check(13)
+    good = c.rlike(r"^\d{14}\z") & ~c.rlike(r"^(\d)\1{13}\z") & check(12) & check(13)
     return F.coalesce(good, F.lit(False))
 
 

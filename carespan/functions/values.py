@@ -42,18 +42,37 @@ def first_filled(cols: Sequence[str | Column], tokens: Iterable[str]) -> Column:
     return F.coalesce(*[blank_to_null(c, tokens).cast("string") for c in cols])
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
+
+
+def parse_number(c: str | Column, to: str = "double") -> Column:
+    """Decimal text to a number; NULL for all else.
+
+    A cast alone would also read ``nan``, ``Infinity``, ``12F`` and ``0x1p3``, and a
+    NaN beats every amount it is compared with.
+    """
+    c = as_col(c).cast("string")
+    return F.when(c.rlike(NUMBER), c.try_cast(to))
+
+
 def parse_money(c: str | Column, to: str = "double") -> Column:
     """``1.234,56`` to 1234.56; text that is no number gives NULL."""
     plain = F.replace(
         F.replace(as_col(c), F.lit("."), F.lit("")), F.lit(","), F.lit(".")
     )
-    return plain.try_cast(to)
+    return parse_number(plain, to)
+
+
+def read_number(c: str | Column) -> Column:
+    """A number column as double, NaN and infinities as NULL."""
+    c = as_col(c).try_cast("double")
+    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
 
 
 # How a value column is read before rows are compared by it.
 VALUE_READERS = {
     "money": parse_money,  # text in Brazilian notation
-    "number": lambda c: as_col(c).try_cast("double"),
+    "number": read_number,
     "text": lambda c: as_col(c).cast("string"),  # '9' ranks above '100'
 }
 
@@ -72,7 +91,7 @@ def parse_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     # the cast of an ISO text is several times faster than a pattern, above all
     # on texts that are no date
     iso = F.concat_ws("-", F.substring(c, 7, 4), F.substring(c, 4, 2), F.substring(c, 1, 2))
-    return F.when(c.rlike(r"^\d{2}/\d{2}/(?!0000)\d{4}$"), iso.try_cast("date"))
+    return F.when(c.rlike(r"^\d{2}/\d{2}/(?!0000)\d{4}\z"), iso.try_cast("date"))
 
 
 def days_between(start: str | Column, end: str | Column) -> Column:
@@ -81,4 +100,4 @@ def days_between(start: str | Column, end: str | Column) -> Column:
 
 def from_day_count(c: str | Column) -> Column:
     """Days since 1960-01-01 (the epoch of one statistics package) to a date."""
-    return F.date_add(F.lit("1960-01-01").cast("date"), as_col(c).cast("int"))
+    return F.date_add(F.lit("1960-01-01").cast("date"), as_col(c).try_cast("int"))
