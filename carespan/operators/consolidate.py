@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.functions.values import read_value
-from carespan.plans.skew import attach, attach_measured, row_count, stage_lookup
+from carespan.plans.skew import ROWS, attach, attach_measured, row_count, stage_lookup
+from carespan.sources.staging import stage
 
 FOUND = "_has_value"
 
@@ -80,15 +81,28 @@ def _attach_tied(
     """Attach every distinct attribute found at the unit's extreme value."""
     extreme = {"max": F.max, "min": F.min}[DIRECTIONS[agg]]
     v = read_value(value, parse)
-    tops, limit = stage_lookup(df.groupBy(unit).agg(extreme(v).alias("_top"), row_count()))
-    rows = df.select(unit, F.col(attribute).alias(out), v.alias("_value"))
-    found = (
-        attach_measured(rows, tops, [unit], limit)
-        .filter(F.col("_value") == F.col("_top"))
-        .select(unit, out)
-        .distinct()
+    # facts shrink to one row per unit and attribute; tops and ties both come from it
+    pairs = df.groupBy(unit, F.col(attribute).alias(out)).agg(
+        extreme(v).alias("_value"), row_count()
     )
-    return attach_measured(df, found, [unit], limit, sizes=tops, how=how)
+    found, tops, limit = tied_rows(df, pairs, unit, extreme("_value"))
+    return attach_measured(df, found.select(unit, out), [unit], limit, sizes=tops, how=how)
+
+
+def tied_rows(
+    facts: DataFrame, pairs: DataFrame, unit: str, top: Column, value: str = "_value"
+) -> tuple[DataFrame, DataFrame, int | None]:
+    """The rows of ``pairs`` whose value is their unit's ``top``, the tops, the hot limit.
+
+    ``pairs`` is staged: it is read for the tops and for the rows at them.
+    """
+    pairs = stage(pairs, "pairs")
+    tops, limit = stage_lookup(
+        pairs.groupBy(unit).agg(top.alias("_top"), F.sum(ROWS).alias(ROWS)), facts
+    )
+    best = tops.select(unit, "_top").filter(F.col("_top").isNotNull())
+    found = pairs.drop(ROWS).join(best, unit).filter(F.col(value) == F.col("_top"))
+    return found, tops, limit
 
 
 def consolidate(

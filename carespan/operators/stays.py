@@ -7,6 +7,8 @@ of calendar days, and only that goes through per-person windows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
@@ -15,7 +17,10 @@ from carespan.functions.values import DATE_FORMAT, days_between, parse_date
 from carespan.operators.care import INPATIENT, care_type
 from carespan.plans.numbering import PIECE, running_total, stage_pieces
 from carespan.plans.skew import ROWS, attach, attach_measured, hot_limit, row_count
-from carespan.sources.staging import stage, stage_and_measure
+from carespan.sources.staging import stage
+
+
+BLOCK = 1_000_000  # stay numbers in one window
 
 
 def _date(df: DataFrame, name: str, fmt: str) -> Column:
@@ -159,7 +164,6 @@ def _stay_groups(
         ranged,
         "stays",
         top=F.max(ROWS),
-        total=F.sum(ROWS),
         spread=F.bool_or("_spread"),
     )
     order = [F.col(person).asc_nulls_first(), *order, F.col("_edge")]
@@ -183,13 +187,16 @@ def number_stays(
     stay_dates: bool = True,
     out_start: str = "DT_INTERNACAO",
     out_end: str = "DT_ALTA",
+    order: Sequence[str] = ("COD_CONTROLE", "NR_LINHA"),
 ) -> DataFrame:
     """Give every row the number of its stay, and the stay's first and last day.
 
     ``previous`` links a row to the row before it in order of admission (then
     longest first) when they overlap or lie one day apart; ``running_max`` links
     it to all rows before it, so a short row inside a long one does not end the
-    stay. Stays are numbered 1.. in order of person and admission.
+    stay. Stays are numbered 1.. in order of person and admission. Rows alike in
+    person and dates that are each a stay of their own are numbered by the columns of
+    ``order`` that the table has, then by all others, however the rows arrive.
     """
     keys = [person, start, end]
     given = {stay: "_id", out_start: "_stay_start", out_end: "_stay_end"}
@@ -201,30 +208,38 @@ def number_stays(
     firsts = groups.filter("_at_first").select(
         *keys, ROWS, "_spread", "_id", "_stay_start", "_stay_end"
     )
-    joined = attach_measured(df, firsts, keys, hot_limit(seen), null_safe=True)
+    joined = attach_measured(df, firsts, keys, hot_limit(seen, df), null_safe=True)
     out = joined.filter(~F.col("_spread")).select(
         *df.columns, *[F.col(c).alias(name) for name, c in given.items()]
     )
     if not seen.get("spread"):
         return out
-    spread = _number_spread(joined.filter("_spread"), groups.filter("_spread"), keys)
+    order = [c for c in order if c in df.columns]
+    order += [c for c in df.columns if c not in order and c not in keys]
+    spread = _number_spread(joined.filter("_spread"), groups.filter("_spread"), keys, order)
     return out.unionByName(
         spread.select(*df.columns, *[F.col(c).alias(name) for name, c in given.items()])
     )
 
 
-def _number_spread(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+def _number_spread(
+    rows: DataFrame, groups: DataFrame, keys: list[str], order: list[str]
+) -> DataFrame:
     """Number the copies of rows that are each a stay of their own.
 
-    ``rows`` come with the stay of their group's first copy. A copy's place in its
-    group is its place in its piece plus the copies in the pieces before, so no
-    group is ever gathered in one task.
+    ``rows`` come with the stay of their group's first copy. They are laid out in
+    ``order`` by a range shuffle; a copy's place in its group is its place in its piece
+    plus the copies in the pieces before, so no group is ever gathered in one task.
     """
     own = rows.columns[: rows.columns.index("_spread")]
+    line = [F.col(f"`{c}`").asc_nulls_first() for c in [*keys, *order]]
+    laid = rows.select(*own, F.col("_id").alias("_from"))
+    laid = laid.repartitionByRange(*line).sortWithinPartitions(*line)
+    # numbered by the task that sorts, so in the order of the sort
     rows = stage(
-        rows.select(*own, F.col("_id").alias("_from"))
-        .withColumn(PIECE, F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id()),
+        laid.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+            PIECE, F.spark_partition_id()
+        ),
         "spread",
     )
     in_piece = [*keys, PIECE]
@@ -233,13 +248,12 @@ def _number_spread(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataF
     )
     shift = (
         rows.groupBy(*in_piece)
-        .agg(row_count())
+        .agg(row_count(), F.min("_row").alias("_first_row"))
         .withColumn("_before", F.coalesce(F.sum(ROWS).over(before), F.lit(0)))
     )
-    nth = F.row_number().over(Window.partitionBy(*in_piece).orderBy("_row"))
-    numbered = attach(
-        rows.withColumn("_nth", nth), shift, in_piece, null_safe=True
-    ).withColumn("_id", F.col("_from") + F.col("_before") + F.col("_nth") - 1)
+    numbered = attach(rows, shift, in_piece, null_safe=True).withColumn(
+        "_id", F.col("_from") + F.col("_before") + F.col("_row") - F.col("_first_row")
+    )
     # the first copy may end the stay before, the last may begin the one after;
     # copies between them have only their own dates
     edges = groups.select("_id", "_stay_start", "_stay_end", F.lit(True).alias("_is_edge"))
@@ -378,40 +392,33 @@ def readmission_gaps(
     end: str = "DT_ALTA",
     out: str = "TEMPO_DESDE_ULTIMA_INTERNACAO",
     mode: str = "intended",
+    block: int = BLOCK,
 ) -> DataFrame:
     """Per stay: days between admission and the discharge of the person's stay before.
 
     ``intended`` leaves the gap of rows without a person NULL; ``observed`` takes
-    them all for one person.
+    them all for one person. ``block``: stay numbers that one window looks at; the
+    result does not depend on it.
     """
-    kept, seen = stage_and_measure(
-        df.groupBy(stay, person, start, end).agg(row_count()), "stays", top=F.max(stay)
-    )
-    many = (seen.get("top") or 0) >= BLOCK
-    before = _lag_in_blocks if many else _lag
-    kept = before(kept, person, stay, end, "_before")
+    kept = stage(df.groupBy(stay, person, start, end).agg(row_count()), "stays")
+    kept = _lag_in_blocks(kept, person, stay, end, "_before", block)
     if mode == "intended":
         known = F.col(person).isNotNull()
         kept = kept.withColumn("_before", F.when(known, F.col("_before")))
     return kept.select(stay, ROWS, F.abs(days_between("_before", start)).alias(out))
 
 
-BLOCK = 1_000_000
-
-
-def _lag(df: DataFrame, key: str, number: str, value: str, out: str) -> DataFrame:
-    order = [F.col(number).asc_nulls_first(), F.col(value).desc_nulls_last()]
-    return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
-
-
-def _lag_in_blocks(df: DataFrame, key: str, number: str, value: str, out: str) -> DataFrame:
-    """``_lag`` for keys of any size: a window sees one block of numbers of a key.
+def _lag_in_blocks(
+    df: DataFrame, key: str, number: str, value: str, out: str, block: int
+) -> DataFrame:
+    """The value of the row before, by number, for keys of any size.
 
-    The last row of each block is put before the key's next block, where it
-    serves the first row as its predecessor. ``df`` must be repeatable.
+    A window sees one block of numbers of a key. The last row of each block is put
+    before the key's next block, where it serves the first row as its predecessor.
+    ``df`` must be repeatable.
     """
-    df = df.withColumn("_block", F.floor(F.col(number) / BLOCK))
-    # last in the order of ``_lag``: the highest number, then the earliest value,
+    df = df.withColumn("_block", F.floor(F.col(number) / block))
+    # last in the window's order: the highest number, then the earliest value,
     # a missing value counting as earliest
     place = F.struct(F.col(number), F.isnull(value), -F.unix_date(value))
     last = df.groupBy(key, "_block").agg(

@@ -2,8 +2,8 @@
 
 A lookup table has one row (or a few, on ties) per key and carries, in ``ROWS``,
 how many fact rows that key has; it comes from a ``groupBy`` on the facts, so the
-counter is free. ``attach`` stages the lookup table, takes the largest and the
-total count while writing, and picks the join:
+counter is free. ``attach`` stages the lookup table, takes the largest count while
+writing, and picks the join:
 
 * no hot key: a plain join. The staged table has a known size, so Spark
   broadcasts it when it is under its own threshold and shuffles otherwise.
@@ -11,10 +11,9 @@ total count while writing, and picks the join:
   times ``limit`` rows, and its lookup rows are repeated once per salt. The facts
   are still read once, and no task gets more than about ``limit`` rows of a key.
 
-The limit is the larger of ``HOT_ROWS`` and ``1 / HOT_KEYS`` of all rows. Fewer than
-``HOT_KEYS`` keys can each hold more than that share, so the list of hot keys sent to
-all tasks has at most that many rows, and the salts of all of them add up to at most
-twice that. At 10^12 rows the limit is 10^7, an average partition of 100,000.
+The limit is how many rows of the facts' width fill ``TASK_BYTES``, whatever the size
+of the table. The list of hot keys grows with the data (all rows over the limit at
+most), so it is joined as Spark's size check decides.
 """
 
 from __future__ import annotations
@@ -23,13 +22,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
 from carespan.sources.staging import stage_and_measure
 
 ROWS = "_rows_of_key"
 SALT, SALTS = "_salt", "_salts"
-HOT_KEYS = 100_000  # at most this many keys can be hot
-HOT_ROWS = 1_000_000  # below this a key is no burden for one task
+TASK_BYTES = 256 << 20  # what the rows of one key may fill in a task
+FIXED = (NumericType, BooleanType, DateType, TimestampType)
+TEXT_BYTES, VALUE_BYTES = 32, 8  # taken for a column that holds text or more, or a value
 
 
 def row_count():
@@ -43,25 +44,29 @@ def attach(
     *,
     how: str = "inner",
     null_safe: bool = False,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Join ``lookup`` to ``facts`` on equally named ``keys``; facts' columns first."""
-    lookup, limit = stage_lookup(lookup)
+    """Join ``lookup`` to ``facts`` on equally named ``keys``; facts' columns first.
+
+    ``limit``: rows of a key that make it hot, if not as many as fill a task.
+    """
+    lookup, limit = stage_lookup(lookup, facts, limit)
     return attach_measured(facts, lookup, keys, limit, how=how, null_safe=null_safe)
 
 
-def stage_lookup(lookup: DataFrame) -> tuple[DataFrame, float | None]:
-    """A staged lookup table and its hot limit."""
-    lookup, seen = stage_and_measure(
-        lookup, "lookup", top=F.max(ROWS), total=F.sum(ROWS)
-    )
-    return lookup, hot_limit(seen)
+def stage_lookup(
+    lookup: DataFrame, facts: DataFrame, limit: int | None = None
+) -> tuple[DataFrame, int | None]:
+    """A staged lookup table and the hot limit of facts that it will be joined to."""
+    lookup, seen = stage_and_measure(lookup, "lookup", top=F.max(ROWS))
+    return lookup, hot_limit(seen, facts, limit)
 
 
 def attach_measured(
     facts: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
-    limit: float | None,
+    limit: int | None,
     *,
     sizes: DataFrame | None = None,
     how: str = "inner",
@@ -76,7 +81,7 @@ def attach_measured(
         return _join(facts, lookup.drop(ROWS), keys, how, null_safe)
 
     sizes = lookup if sizes is None else sizes
-    hot = F.broadcast(
+    hot = (
         sizes.filter(F.col(ROWS) > limit)
         .groupBy(*keys)
         .agg(F.ceil(F.max(ROWS) / limit).cast("int").alias(SALTS))
@@ -105,12 +110,15 @@ def _deal(facts: DataFrame):
     return F.when(hot, F.pmod(row, F.col(SALTS))).otherwise(0).cast("int")
 
 
-def hot_limit(seen: Mapping) -> float | None:
-    """Rows above which a key is hot, or None where no key is; from top and total."""
-    if seen.get("top") is None:
-        return None  # an empty table
-    limit = max(HOT_ROWS, seen["total"] / HOT_KEYS)
-    return limit if seen["top"] > limit else None
+def hot_limit(seen: Mapping, facts: DataFrame, limit: int | None = None) -> int | None:
+    """Rows above which a key is hot, or None where no key is; from the largest count."""
+    limit = rows_a_task(facts) if limit is None else limit
+    return limit if (seen.get("top") or 0) > limit else None
+
+
+def rows_a_task(facts: DataFrame) -> int:
+    wide = sum(VALUE_BYTES if isinstance(f.dataType, FIXED) else TEXT_BYTES for f in facts.schema)
+    return max(1, TASK_BYTES // max(wide, 1))
 
 
 def _join(

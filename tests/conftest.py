@@ -31,8 +31,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def hot(monkeypatch):
     """Every key with more than two rows counts as hot."""
-    monkeypatch.setattr(skew, "HOT_ROWS", 2)
-    monkeypatch.setattr(skew, "HOT_KEYS", 10**9)
+    monkeypatch.setattr(skew, "rows_a_task", lambda facts: 2)
 
 
 def rows(df, *columns):

@@ -54,7 +54,7 @@ def test_hot_units_give_the_same(spark, hot, monkeypatch, ties):
         )
     )
     got = rows(consolidate.consolidate(data, **args(ties=ties, dedupe=False)))
-    monkeypatch.setattr(skew, "HOT_ROWS", 10**9)
+    monkeypatch.setattr(skew, "rows_a_task", lambda facts: 10**9)
     assert rows(consolidate.consolidate(data, **args(ties=ties, dedupe=False))) == got
 
 
