@@ -6,6 +6,7 @@ the customer the person, order and ship dates the admission and discharge.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from carespan.operators import care, codes, consolidate, diagnosis, normalize, person
 from carespan.operators import policy, quality, reports, shape, stays
+from carespan.plans import skew
 from carespan.plans.claims import RAW_COLUMNS
 from carespan.plans.pipeline import run_pipeline
 from carespan.plans.session import tune
@@ -287,13 +289,20 @@ STAY_COLUMNS = (
 @query
 def stays_from_text(spark, folder):
     out = stays.consolidate_stays(dated_claims(spark, folder))
-    return out.select(*STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
+    return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
+
+
+@query
+def stays_running_max_nulls(spark, folder):
+    """Lines of which some have no person or no dates, linked to all before them."""
+    out = stays.consolidate_stays(dated_claims(spark, folder), link="running_max")
+    return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
 
 
 @query
 def stays_without_dates(spark, folder):
     out = stays.consolidate_stays(dated_claims(spark, folder), stay_dates=False)
-    return out.select(*STAY_COLUMNS)
+    return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS)
 
 
 @query
@@ -315,7 +324,7 @@ def readmission_gap(spark, folder):
 @query
 def readmission_gap_observed(spark, folder):
     df = stays.consolidate_stays(dated_claims(spark, folder))
-    df = df.select(*STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
+    df = df.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
     return stays.readmission_gap(df, mode="observed")
 
 
@@ -523,13 +532,9 @@ def code_table_folder(spark, folder):
 
 
 def _edges(spark, folder):
-    return (
-        table(spark, folder, "part")
-        .select(
-            F.col("p_partkey").alias(codes.FROM_CODE),
-            (F.col("p_partkey") - F.col("p_size")).alias(codes.TO_CODE),
-        )
-        .filter(F.col(codes.TO_CODE) >= 0)
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias(codes.FROM_CODE),
+        (F.col("p_partkey") - F.col("p_size")).alias(codes.TO_CODE),
     )
 
 
@@ -538,6 +543,16 @@ def code_closure(spark, folder):
     return codes.code_closure(_edges(spark, folder))
 
 
+@query
+def code_closure_cycles(spark, folder):
+    """Every chain of parts goes up and starts over, so most run into a cycle."""
+    part = table(spark, folder, "part")
+    to = (F.col("p_partkey") + F.col("p_size") % 7 * 5) % F.lit(part.count())
+    return codes.code_closure(
+        part.select(F.col("p_partkey").alias(codes.FROM_CODE), to.alias(codes.TO_CODE))
+    )
+
+
 @query
 def code_table_end_codes(spark, folder):
     return codes.add_end_code(_edges(spark, folder))
@@ -616,11 +631,20 @@ def policy_holder_intended(spark, folder):
 
 @query
 def csv_round_trip(spark, folder):
-    """Customers written as CSV with an index column, and read as all-text claims."""
+    """Documents written as CSV and read as all-text claims, value for value.
+
+    With an index column, quotes, commas, line breaks, empty texts and gaps.
+    """
     path = new_path(spark, "csv")
-    df = table(spark, folder, "customer").withColumn("Unnamed: 0", F.lit("0"))
+    df = table(spark, folder, "documents").withColumns(
+        {
+            "Unnamed: 0": F.lit("0"),
+            "quoted": F.concat(F.lit('"'), F.col("lang"), F.lit('", \\ "'), F.col("source")),
+            "gap": F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, "x"),
+        }
+    )
     tables.write_csv(tables.all_text(df), path)
-    return tables.read_claims_csv(spark, path, columns=df.columns)
+    return tables.read_claims_csv(spark, path, columns=df.columns, multi_line=True)
 
 
 @query
@@ -638,6 +662,39 @@ def remove_rows(spark, folder):
     )
 
 
+@query
+def remove_rows_long(spark, folder):
+    """A list of 1,500 values, none of them missing."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_orderkey")
+    return shape.remove_rows(orders, "o_orderkey", range(0, 15_000, 10))
+
+
+@query
+def remove_rows_missing(spark, folder):
+    """A missing value in the list leaves no row, however long the list is."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_orderkey")
+    return shape.remove_rows(orders, "o_orderkey", [*range(0, 15_000, 10), None])
+
+
+@query
+def append_or_create(spark, folder):
+    """Orders in two batches, the second with its columns in another order."""
+    name = f"batches_{uuid.uuid4().hex}"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    first = F.col("o_orderpriority") < "3"
+    tables.append_or_create(orders.filter(first), name)
+    tables.append_or_create(orders.filter(~first).select(*reversed(orders.columns)), name)
+    return spark.table(name)
+
+
+@query
+def salted_lookup(spark, folder):
+    """Lines with their flag's count and total, each flag's lines dealt out over tasks."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    totals = lines.groupBy("l_returnflag").agg(skew.row_count(), F.sum("l_quantity").cast("long").alias("quantity"))
+    return skew.attach(lines.drop("l_quantity"), totals, ["l_returnflag"], limit=500)
+
+
 @query
 def count_rows(spark, folder):
     return shape.count_rows(table(spark, folder, "orders"), "orders")
@@ -693,9 +750,8 @@ def rule_violations(spark, folder):
 
 @query
 def rule_invalid_values(spark, folder):
-    rules = {c: r for c, r in CHECK_RULES.items() if r in ("date", "cid", "integer")}
     return quality.invalid_values(
-        _checked(spark, folder), rules, keys=["COD_CONTROLE", "NR_LINHA"]
+        _checked(spark, folder), CHECK_RULES, keys=["COD_CONTROLE", "NR_LINHA"]
     )
 
 
@@ -785,6 +841,28 @@ def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _odd_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw claims whose money, number and code columns hold texts that only look right."""
+    odd = F.array(*[F.lit(x) for x in ("nan", "Infinity", "12F", "0x1p3", "1.234,5", "12", "A10\n", "", ".")])
+    pick = F.get(odd, (text("NR_LINHA_N").cast("int") + F.length("COD_CONTROLE")) % 9)
+    df = raw_claims(spark, folder).withColumn("NR_LINHA_N", F.col("NUM_SENHA_INTER"))
+    named = ("VLR_PROD_MEDICA", "QTDE_PROD_MEDICA", "CID_SAIDA", "COD_CLIENTE", "NR_CNPJ")
+    return df.withColumns({c: pick for c in named}).drop("NR_LINHA_N")
+
+
+@query
+def completeness_claims(spark, folder):
+    """The shipped limits of all raw columns."""
+    out = quality.completeness(_odd_claims(spark, folder))
+    return out.withColumn("filled_share", F.round("filled_share", 6))
+
+
+@query
+def rule_violations_claims(spark, folder):
+    """The shipped rules of the raw columns."""
+    return quality.rule_violations(_odd_claims(spark, folder), failing_only=False)
+
+
 @query
 def full_pipeline(spark, folder):
     closure = codes.code_closure(_edges(spark, folder))
