@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from carespan.sources.staging import stage, stage_and_measure
 
-BLOCK = 128  # nodes of a line that are compared with one another
+BLOCK = 2048  # nodes of a line that are compared with one another
 SIGNS = 10  # random projections whose signs lay out a line
 PAIRS = "node long, other long, sim float"
 
@@ -108,7 +108,7 @@ def first_graph(nodes: DataFrame, k: int, lines: int, seed: int) -> DataFrame:
         kept: list[pa.RecordBatch] = []
         for b in batches:
             kept.append(b)
-            if sum(x.num_rows for x in kept) >= 32 * BLOCK:
+            if sum(x.num_rows for x in kept) >= 2 * BLOCK:
                 rows = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
                 whole = rows.num_rows // BLOCK * BLOCK
                 yield from blocks(rows.slice(0, whole))
@@ -124,7 +124,7 @@ def first_graph(nodes: DataFrame, k: int, lines: int, seed: int) -> DataFrame:
                 own = at + np.flatnonzero(lines_[at : at + BLOCK] == i)
                 if len(own) > 1:
                     sims = x[own] @ x[own].T
-                    a, b = nearest(sims, k)
+                    a, b = nearest(sims, k // 2)
                     yield pair_batch(ids[own[a]], ids[own[b]], sims[a, b])
 
     laid = nodes.select("node", "unit").mapInArrow(lay_out, "line int, code long, node long, unit binary")
@@ -184,7 +184,7 @@ def offers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def neighbour_graph(
-    nodes: DataFrame, *, k: int = 20, lines: int = 6, rounds: int = 8, taken: float = 0.01, seed: int = 5
+    nodes: DataFrame, *, k: int = 20, lines: int = 16, rounds: int = 4, taken: float = 0.005, seed: int = 5
 ) -> DataFrame:
     """(node, other, sim): the k nearest other nodes found for each node."""
     n = nodes.count()
@@ -220,30 +220,34 @@ def score_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return sides.select("query", "node", "uq", "un").mapInArrow(run, "query long, node long, sim float")
 
 
-def walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, *, width: int, step: int, steps: int) -> DataFrame:
-    """(query, node, sim): nodes scored for each query node, found by greedy search.
+def walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, *, k: int, width: int, step: int, steps: int) -> DataFrame:
+    """(query, node, sim): the ``width`` nearest nodes that greedy search finds for each.
 
     Each step visits, for every query, up to ``step`` nodes not visited yet among the
-    ``width`` nearest known; it ends when there are none.
+    ``width`` nearest known; it ends when there are none. Only these are carried along;
+    which nodes were scored before is looked up in the parts of the steps before.
     """
-    ways = stage(both_ways(graph, 20).select(F.col("centre").alias("node"), F.col("member").alias("next")), "ways")
-    known = queries.select(F.col("query").alias("node"), "query").withColumn("sim", F.lit(1.0).cast("float"))
-    known = stage(known.select("query", "node", "sim"), "known")
-    visited = stage(known.select("query", "node"), "visited")
-    frontier = visited
+    ways = both_ways(graph, k).groupBy("centre").agg(F.collect_list("member").alias("next"))  # 2 k at most
+    ways = stage(ways.withColumnRenamed("centre", "node"), "ways")
+    own = queries.select("query", F.col("query").alias("node"))
+    pool = stage(own.select("query", "node", F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("visited")), "pool")
+    scored = stage(own, "scored")
+    line = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
+    turn = Window.partitionBy("query", "visited").orderBy(F.desc("sim"), "node")
     for _ in range(steps):
-        reached = frontier.join(ways, "node").select("query", F.col("next").alias("node")).distinct()
-        fresh = reached.join(known.select("query", "node"), ["query", "node"], "left_anti")
-        known = stage(known.union(score_pairs(fresh, nodes)), "known")
-        line = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
-        near = known.withColumn("place", F.row_number().over(line)).filter(F.col("place") <= width)
-        waiting = near.join(visited, ["query", "node"], "left_anti")
-        waiting = waiting.withColumn("turn", F.row_number().over(line)).filter(F.col("turn") <= step)
-        frontier = stage(waiting.select("query", "node"), "frontier")
+        marked = pool.withColumn("turn", F.row_number().over(turn))
+        marked = stage(marked.withColumn("now", ~F.col("visited") & (F.col("turn") <= step)), "frontier")
+        frontier = marked.filter("now").select("query", "node")
         if frontier.isEmpty():
             break
-        visited = stage(visited.union(frontier), "visited")
-    return known
+        reached = frontier.join(ways, "node").select("query", F.explode("next").alias("node")).distinct()
+        fresh = stage(score_pairs(reached.join(scored, ["query", "node"], "left_anti"), nodes), "fresh")
+        scored = scored.union(fresh.select("query", "node"))
+        seen = marked.select("query", "node", "sim", (F.col("visited") | F.col("now")).alias("visited"))
+        both = seen.union(fresh.withColumn("visited", F.lit(False)))
+        both = both.withColumn("place", F.row_number().over(line)).filter(F.col("place") <= width)
+        pool = stage(both.drop("place"), "pool")
+    return pool.select("query", "node", "sim")
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -273,7 +277,7 @@ def search(
     vector: str = "embedding",
     nearest_: int = 5,
     k: int = 20,
-    width: int = 48,
+    width: int = 64,
     step: int = 16,
     steps: int = 12,
 ) -> DataFrame:
@@ -288,7 +292,7 @@ def search(
     graph = neighbour_graph(nodes, k=k)
     asked = rows.filter(is_query).join(nodes.select("node", "vec"), "vec").select("uid", "vec_id", F.col("node").alias("query"))
     asked = stage(asked, "asked")
-    known = walk(asked.select("query").distinct(), graph, nodes, width=width, step=step, steps=steps)
+    known = walk(asked.select("query").distinct(), graph, nodes, k=k, width=width, step=step, steps=steps)
     line = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
     best = known.withColumn("place", F.row_number().over(line)).filter(F.col("place") <= 4 * nearest_ + 1)
     scored = stage(exact_scores(best.select("query", "node"), nodes), "scored")
