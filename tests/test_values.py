@@ -21,6 +21,14 @@ def one(spark, expression, value=None, kind="string"):
         (".", None),
         ("x", None),
         (None, None),
+        ("nan", None),
+        ("Infinity", None),
+        ("-inf", None),
+        ("12F", None),
+        ("12D", None),
+        ("0x1p3", None),
+        ("-3,5", -3.5),
+        ("1e3", 1000.0),
     ],
 )
 def test_money(spark, given, want):
@@ -51,6 +59,30 @@ def test_date(spark, given, want):
     assert one(spark, rules.is_date("c"), given) is (want is not None)
 
 
+@pytest.mark.parametrize("odd", ["nan", "12F", "0x1p3", "Infinity", "1\n2", "", "."])
+def test_texts_that_only_look_like_numbers(spark, odd):
+    assert one(spark, rules.is_float("c"), odd) is False
+    assert one(spark, values.read_value("c", "money"), odd) is None
+
+
+def test_rules_end_with_the_text(spark):
+    assert one(spark, rules.is_date("c"), "01/02/2020\n") is False
+    assert one(spark, rules.is_diagnosis("c"), "A10\n") is False
+    assert one(spark, rules.is_company_number("c"), "11222333000181\n") is False
+    assert one(spark, rules.is_company_number("c"), "11222333000181") is True
+
+
+def test_numbers_without_nan(spark):
+    assert one(spark, values.read_value("c", "number"), float("nan"), "double") is None
+    assert one(spark, values.read_value("c", "number"), 2.5, "double") == 2.5
+    assert one(spark, values.from_day_count("c"), "x") is None
+
+
+def test_long_runs_of_blanks(spark):
+    assert one(spark, text.clean_description("c"), "a" + " " * 250 + "b") == "A B"
+    assert one(spark, text.clean_description("c", "observed"), "a" + " " * 250 + "b") == "A   B"
+
+
 def test_other_date_format(spark):
     assert one(spark, values.parse_date("c", "yyyyMMdd"), "20190708") == date(2019, 7, 8)
 
