@@ -78,6 +78,18 @@ def test_filters_reach_the_scan(facts):
     assert "ReadSchema: struct<u:int,t:string>" in text
 
 
+def test_ties_come_from_the_pair_table(facts, spark):
+    """The facts are read for the pairs and for the result, never joined to their maxima."""
+    read = []
+    for df in (
+        consolidate.consolidate(facts, attribute="a", unit="u", value="v", parse="number"),
+        person.client_code(facts, client="COD_ENTIDADE_TS_SEGURADO", fallbacks=("NUM_AGR_INTER",), value="v", parse="number"),
+    ):
+        text = plan(df)
+        read.append(len(set(re.findall(r"facts\.parquet", text))) and len(re.findall(r"Location: InMemoryFileIndex\S* ?\S*facts", text)))
+    assert all(n == 1 for n in read), read
+
+
 def test_no_salt_without_hot_keys(facts):
     df = consolidate.consolidate(facts, attribute="a", unit="u", value="v", parse="number", ties="one")
     assert skew.SALT not in plan(df)

@@ -128,11 +128,20 @@ def test_one_day_apart_merges_two_do_not(spark):
         assert rows(number(make(spark, data), link), "n", "id") == [(1, 1), (2, 1), (3, 2)]
 
 
-def test_order_of_input_does_not_matter(spark):
-    data = random_rows(6, 200, 5)
-    a = rows(number(make(spark, data)))
-    random.Random(0).shuffle(data)
-    assert rows(number(make(spark, data))) == a
+@pytest.mark.parametrize("link", ["previous", "running_max"])
+def test_order_of_input_does_not_matter(spark, link):
+    data = random_rows(6, 200, 5, null=0.3, span=10)
+    data += [(1000 + i, None, None, None) for i in range(40)]
+    a = rows(number(make(spark, data), link))
+    for parts in (1, 7):
+        random.Random(parts).shuffle(data)
+        assert rows(number(make(spark, data).repartition(parts), link)) == a
+
+
+def test_claim_and_line_settle_the_order_of_unlinked_rows(spark):
+    data = [(n, None, None, None) for n in (3, 1, 2)]
+    df = make(spark, data).withColumns({"COD_CONTROLE": 10 - F.col("n"), "NR_LINHA": F.col("n")})
+    assert rows(number(df), "n", "id") == [(1, 3), (2, 2), (3, 1)]
 
 
 def test_empty(spark):
