@@ -184,7 +184,7 @@ def offers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def neighbour_graph(
-    nodes: DataFrame, *, k: int = 20, lines: int = 16, rounds: int = 4, taken: float = 0.005, seed: int = 5
+    nodes: DataFrame, *, k: int = 20, lines: int = 16, rounds: int = 4, taken: float = 0.02, seed: int = 5
 ) -> DataFrame:
     """(node, other, sim): the k nearest other nodes found for each node."""
     n = nodes.count()
@@ -236,15 +236,16 @@ def walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame, *, k: int, widt
     turn = Window.partitionBy("query", "visited").orderBy(F.desc("sim"), "node")
     for _ in range(steps):
         marked = pool.withColumn("turn", F.row_number().over(turn))
-        marked = stage(marked.withColumn("now", ~F.col("visited") & (F.col("turn") <= step)), "frontier")
-        frontier = marked.filter("now").select("query", "node")
-        if frontier.isEmpty():
+        marked = marked.withColumn("now", ~F.col("visited") & (F.col("turn") <= step)).drop("turn")
+        marked, seen = stage_and_measure(marked, "frontier", now=F.count_if("now"))
+        if not seen.get("now"):
             break
+        frontier = marked.filter("now").select("query", "node")
         reached = frontier.join(ways, "node").select("query", F.explode("next").alias("node")).distinct()
         fresh = stage(score_pairs(reached.join(scored, ["query", "node"], "left_anti"), nodes), "fresh")
         scored = scored.union(fresh.select("query", "node"))
-        seen = marked.select("query", "node", "sim", (F.col("visited") | F.col("now")).alias("visited"))
-        both = seen.union(fresh.withColumn("visited", F.lit(False)))
+        been = marked.select("query", "node", "sim", (F.col("visited") | F.col("now")).alias("visited"))
+        both = been.union(fresh.withColumn("visited", F.lit(False)))
         both = both.withColumn("place", F.row_number().over(line)).filter(F.col("place") <= width)
         pool = stage(both.drop("place"), "pool")
     return pool.select("query", "node", "sim")
@@ -278,7 +279,7 @@ def search(
     nearest_: int = 5,
     k: int = 20,
     width: int = 64,
-    step: int = 16,
+    step: int = 32,
     steps: int = 12,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest rows found for each query row.
