@@ -68,11 +68,18 @@ def labelled_texts(
     return list(found.items())
 
 
+def small_slices(batches, rows: int = 500):
+    """Batches in slices, so that few texts are unpacked at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def score_texts(docs: DataFrame, score, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, score): ``score`` gets a list of whole texts as bytes, null as empty."""
 
     def run(batches):
-        for b in batches:
+        for b in small_slices(batches):
             texts = [t.encode() for t in b.column(1).to_pylist()]
             s = pa.array(np.asarray(score(texts), np.float64), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), s], ["key", "score"])
@@ -88,7 +95,7 @@ def keep_rows(docs: DataFrame, keep, *, text: str = "text") -> DataFrame:
     """
 
     def run(batches):
-        for b in batches:
+        for b in small_slices(batches):
             texts = [(t or "").encode() for t in b.column(text).to_pylist()]
             yield b.filter(pa.array(np.asarray(keep(texts), bool)))
 

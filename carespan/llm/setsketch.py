@@ -56,7 +56,7 @@ class WordHashes(dict):
     """64-bit digests of words, kept for the words to come."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         digest = self[word] = xxhash.xxh64_intdigest(word)
         return digest
@@ -174,11 +174,16 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return (low + high) / 2
 
 
-def text_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of batches, each with its texts, of some GROUP_WORDS words."""
+def text_groups(
+    batches: Iterator[pa.RecordBatch], column: str, inside: str | None = None
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of batches, each with its texts, of some GROUP_WORDS words.
+
+    The texts are a column, or a field of the struct column ``inside``.
+    """
     for b in batches:
         start, size, texts = 0, 0, []
-        for i, t in enumerate(b.column(column)):
+        for i, t in enumerate(b.column(column) if inside is None else b.column(inside).field(column)):
             texts.append(t.as_py() or "")
             size += len(texts[-1])
             if size >= 6 * GROUP_WORDS or i + 1 == b.num_rows:
@@ -420,10 +425,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     )
 
 
-def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds h1, h2 and n of the text's set to (row, id, text)."""
+def digest_rows(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Adds h1, h2 and n of the set of the row's text to (row, id)."""
     hashes = WordHashes()
-    for b, texts in text_groups(batches, "text"):
+    for b, texts in text_groups(batches, text, "row"):
         elements, sizes = shingle_sets(texts, hashes)
         h1, h2 = (pa.array(h.astype(np.int64)) for h in set_digests(elements, sizes))
         yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), h1, h2, pa.array(sizes.astype(np.int64))], ["row", "id", "h1", "h2", "n"])
@@ -440,9 +445,9 @@ def without_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str =
     order = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), *digest)
     first = found.groupBy("root").agg(F.min_by(F.struct("id", *digest), order).alias("first")).select("first.*")
     winners = stage(first.select("id", *[F.col(c).alias(f"w{i}") for i, c in enumerate(digest)]), "winners")
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), kept_text(F.col(text)).alias("text"))
-    schema = rows.drop("text").schema.add("h1", "long").add("h2", "long").add("n", "long")
-    rows = rows.mapInArrow(digest_rows, schema)
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"))
+    schema = rows.schema.add("h1", "long").add("h2", "long").add("n", "long")
+    rows = rows.mapInArrow(lambda batches: digest_rows(batches, text), schema)
     same = rows.id.eqNullSafe(winners.id) & (F.col("h1") == F.col("w0")) & (F.col("h2") == F.col("w1")) & (F.col("n") == F.col("w2"))
     chosen = rows.filter("n > 0").join(winners, same, "left_semi")
     line = Window.partitionBy("id", "h1", "h2").orderBy("n")
