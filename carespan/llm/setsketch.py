@@ -446,7 +446,7 @@ def without_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str =
     first = found.groupBy("root").agg(F.min_by(F.struct("id", *digest), order).alias("first")).select("first.*")
     winners = stage(first.select("id", *[F.col(c).alias(f"w{i}") for i, c in enumerate(digest)]), "winners")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"))
-    schema = rows.schema.add("h1", "long").add("h2", "long").add("n", "long")
+    schema = rows.select("row", "id").schema.add("h1", "long").add("h2", "long").add("n", "long")
     rows = rows.mapInArrow(lambda batches: digest_rows(batches, text), schema)
     same = rows.id.eqNullSafe(winners.id) & (F.col("h1") == F.col("w0")) & (F.col("h2") == F.col("w1")) & (F.col("n") == F.col("w2"))
     chosen = rows.filter("n > 0").join(winners, same, "left_semi")
