@@ -5,7 +5,7 @@ random orders of the nodes: rows are laid out by the signs of random projections
 neighbours in the line are compared in blocks. Then each round brings every node's
 neighbours, and the nodes it is a neighbour of, together with their vectors, compares
 them with one another and offers each node the ones that are nearer than its worst
-neighbour. Rounds end when few offers are taken up.
+neighbour. Rounds go on, however many, until few offers are taken up.
 
 A query walks greedily from its own node: of the nearest nodes it knows, those not yet
 visited are visited and their neighbours scored, until the nearest are all visited.
@@ -184,26 +184,29 @@ def offers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def neighbour_graph(
-    nodes: DataFrame, *, k: int = 20, lines: int = 16, rounds: int = 4, taken: float = 0.02, seed: int = 5
+    nodes: DataFrame, *, k: int = 20, lines: int = 16, taken: float = 0.005, seed: int = 5
 ) -> DataFrame:
-    """(node, other, sim): the k nearest other nodes found for each node."""
+    """(node, other, sim): the k nearest other nodes found for each node.
+
+    Rounds end when a share of at most ``taken`` of all neighbours is new. They do end:
+    a neighbour gives way to nearer ones only.
+    """
     n = nodes.count()
     graph = stage(best_of(first_graph(nodes, k, lines, seed), k), "graph")
-    for _ in range(rounds):
+    while True:
         # a node with fewer than k neighbours takes all that is offered
         full = F.when(F.count(F.lit(1)) == k, F.min("sim")).otherwise(F.lit(-2.0)).cast("float")
         worst = graph.groupBy("node").agg(full.alias("worst"))
         carried = nodes.select("node", "unit").join(worst, "node").withColumnRenamed("node", "member")
         groups = both_ways(graph, k).join(stage(carried, "carried"), "member")
         groups = groups.repartition("centre").sortWithinPartitions("centre", "member")
-        offered = groups.select("centre", "member", "unit", "worst").mapInArrow(lambda b: offers(b, k // 2), PAIRS)
+        offered = groups.select("centre", "member", "unit", "worst").mapInArrow(lambda b: offers(b, k), PAIRS)  # more than k of a centre cannot stay
         old = graph.withColumn("old", F.lit(1))
         merged = best_of(graph.union(offered), k).join(old.select("node", "other", "old"), ["node", "other"], "left")
         graph, seen = stage_and_measure(merged.select("node", "other", "sim", "old"), "graph", new=F.count_if(F.col("old").isNull()))
         graph = graph.drop("old")
         if seen["new"] <= taken * n * k:
-            break
-    return graph
+            return graph
 
 
 def score_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -39,6 +39,25 @@ def test_recall(spark):
     assert hits >= 0.95 * 5 * len(got)
 
 
+def test_recall_where_the_first_graph_is_poor(spark, monkeypatch):
+    """Blocks that are small against the table: the rounds have to find the neighbours."""
+    monkeypatch.setattr(n, "BLOCK", 8)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1500, 12))
+    df = table(spark, list(enumerate(x)))
+    nodes, _ = n.node_table(n.usable_vectors(df, "vec_id", "embedding"), 6)
+    ids = {r.node: i for r, i in ((r, tuple(r.vec)) for r in nodes.collect())}
+    place = {tuple(map(float, np.float32(v))): i for i, v in enumerate(x)}
+    graph = {}
+    for r in n.neighbour_graph(nodes, k=10, lines=2).collect():
+        graph.setdefault(place[ids[r.node]], set()).add(place[ids[r.other]])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sims = unit @ unit.T
+    np.fill_diagonal(sims, -2)
+    hits = sum(len(graph[i] & set(np.argsort(-sims[i])[:10])) for i in range(len(x)))
+    assert hits >= 0.95 * 10 * len(x), hits / 10 / len(x)
+
+
 def test_vectors_without_a_direction_take_no_part(spark):
     inf, nan = float("inf"), float("nan")
     vectors = [(0, [1, 0]), (1, None), (2, [0, 0]), (3, [1, None]), (50, [nan, 1]), (100, [inf, 1]), (4, [0, 1]), (5, [1]), (6, [])]
