@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import attention_lm, bm25, mixing, nn_descent, quality, sentencepiece_codec, setsketch, toxicity, url_filter
+from carespan.llm import attention_lm, bm25, mixing, nn_descent, quality, sentencepiece_codec, setsketch, simhash, toxicity, url_filter
 from carespan.llm.common import WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
@@ -79,6 +79,11 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 ORACLES: dict[str, str] = {
     "op7_mixing": rf"""
         WITH docs AS (
