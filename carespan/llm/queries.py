@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import attention_lm, bm25, mixing, nn_descent, quality, sentencepiece_codec, setsketch, simhash, toxicity, url_filter
+from carespan.llm import attention_lm, bm25, cover_lloyd, mixing, nn_descent, quality, sentencepiece_codec, setsketch, simhash, toxicity, url_filter
 from carespan.llm.common import WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
@@ -84,6 +84,11 @@ def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_lloyd.compress(table(spark, folder, "embeddings"))
+
+
 ORACLES: dict[str, str] = {
     "op7_mixing": rf"""
         WITH docs AS (
@@ -119,3 +124,46 @@ ORACLES: dict[str, str] = {
                  * size AS taken
         FROM placed""",
 }
+
+
+def vector_codes_sql() -> str:
+    """Rounds of comparing every part with every entry, in whole numbers."""
+    ctes = ["""
+        kept AS MATERIALIZED (
+            SELECT vec_id, label, embedding FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        places AS MATERIALIZED (
+            SELECT vec_id, i * 8 // len(embedding) AS part, i % (len(embedding) // 8) AS place,
+                   CAST(floor(4096 * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x
+            FROM kept, unnest(range(len(embedding))) AS t(i)),
+        first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 16),
+        book0 AS MATERIALIZED (SELECT part, entry, place, x AS y FROM places JOIN first USING (vec_id))"""]
+    for i in range(7):
+        ctes.append(f"""
+        near{i} AS MATERIALIZED (
+            SELECT vec_id, part, min(d * 16 + entry) // 16 AS error, min(d * 16 + entry) % 16 AS entry
+            FROM (SELECT vec_id, part, entry, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d
+                  FROM places JOIN book{i} USING (part, place) GROUP BY vec_id, part, entry)
+            GROUP BY vec_id, part)""")
+        if i < 6:
+            ctes.append(f"""
+        book{i + 1} AS MATERIALIZED (
+            SELECT part, entry, place, coalesce((s - ((s % n) + n) % n) // n, y) AS y
+            FROM book{i} LEFT JOIN (
+                SELECT part, entry, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+                FROM places JOIN near{i} USING (vec_id, part) GROUP BY part, entry, place)
+            USING (part, entry, place))""")
+    return f"""
+        WITH {",".join(ctes)},
+        digest AS (SELECT sha256(string_agg(y, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book6),
+        coded AS (
+            SELECT vec_id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code,
+                   CAST(sum(error) AS BIGINT) AS error
+            FROM near6 GROUP BY vec_id)
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM coded JOIN kept USING (vec_id), digest"""
+
+
+ORACLES["op12_vector_codes"] = vector_codes_sql()
