@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.llm import attention_lm, bm25, cover_lloyd, mixing, nn_descent, quality, sentencepiece_codec, setsketch, simhash, toxicity, url_filter
-from carespan.llm.common import WORD, table, tokenizer_file
+from carespan.llm import attention_lm, bm25, cover_lloyd, mixing, nn_descent, quality, sentencepiece_codec, setsketch, simhash, stripes, toxicity, url_filter
+from carespan.llm.common import LOWER, UPPER, WORD, table, tokenizer_file
 from carespan.llm.token_files import TokenFiles
 from carespan.sources.staging import new_path
 
@@ -89,6 +89,11 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return cover_lloyd.compress(table(spark, folder, "embeddings"))
 
 
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return stripes.collocations(table(spark, folder, "documents"))
+
+
 ORACLES: dict[str, str] = {
     "op7_mixing": rf"""
         WITH docs AS (
@@ -167,3 +172,39 @@ def vector_codes_sql() -> str:
 
 
 ORACLES["op12_vector_codes"] = vector_codes_sql()
+
+ORACLES["op13_collocations"] = rf"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    seen AS MATERIALIZED (
+        SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM words, unnest(range(1, len(w) + 1)) AS t(i)),
+    one AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM seen GROUP BY ALL),
+    two AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS f FROM seen WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    three AS MATERIALIZED (
+        SELECT lang, w1, w2, w3, count(*) AS f FROM seen WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    longer AS (
+        SELECT lang, w1, w2, max(f) AS f
+        FROM (SELECT lang, w1, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL),
+    cuts AS (
+        SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, 1 AS k, x.f AS l, y.f AS r
+        FROM two t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN one y ON y.lang = t.lang AND y.w1 = t.w2
+        LEFT JOIN longer g ON g.lang = t.lang AND g.w1 = t.w1 AND g.w2 = t.w2
+        WHERE NOT coalesce(100 * g.f >= 50 * t.f, false)
+        UNION ALL
+        SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f
+        FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1
+        JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+        UNION ALL
+        SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f
+        FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2
+        JOIN one y ON y.lang = t.lang AND y.w1 = t.w3),
+    scored AS (
+        SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY 1000000::HUGEINT * a * a // (l::HUGEINT * r), k) = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+    JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang) USING (lang)
+    WHERE rank <= 2000"""
