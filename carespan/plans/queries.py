@@ -676,6 +676,43 @@ def remove_rows_missing(spark, folder):
     return shape.remove_rows(orders, "o_orderkey", [*range(0, 15_000, 10), None])
 
 
+def _customers_of(spark, folder, nations):
+    return table(spark, folder, "customer").filter(F.col("c_nationkey").isin(nations)).select("c_custkey")
+
+
+def _orders_with_gaps(spark, folder):
+    """Orders, the least urgent without a customer."""
+    known = F.col("o_orderpriority") != "5-LOW"
+    return table(spark, folder, "orders").select(
+        "o_orderkey", F.when(known, F.col("o_custkey")).alias("o_custkey")
+    )
+
+
+@query
+def remove_listed(spark, folder):
+    """Orders of customers that a table does not list."""
+    listed = _customers_of(spark, folder, [1, 5, 9])
+    return shape.remove_listed(_orders_with_gaps(spark, folder), listed, "o_custkey")
+
+
+@query
+def remove_listed_text(spark, folder):
+    """The list holds text, each value several times."""
+    listed = table(spark, folder, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return shape.remove_listed(
+        _orders_with_gaps(spark, folder), listed.select("o_orderpriority", text("o_custkey").alias("v")), "o_custkey", "v"
+    )
+
+
+@query
+def remove_listed_gaps(spark, folder):
+    """A list with a missing value leaves nothing, one without any value everything."""
+    orders, none = _orders_with_gaps(spark, folder), _customers_of(spark, folder, [-1])
+    some = _customers_of(spark, folder, [1]).unionByName(orders.select(F.col("o_custkey").alias("c_custkey")))
+    cut = shape.remove_listed(orders, some, "o_custkey").withColumn("list", F.lit("missing"))
+    return cut.unionByName(shape.remove_listed(orders, none, "o_custkey").withColumn("list", F.lit("none")))
+
+
 @query
 def append_or_create(spark, folder):
     """Orders in two batches, the second with its columns in another order."""
@@ -787,6 +824,16 @@ def total_cost(spark, folder):
     return out.withColumn("CUSTO_POTENCIAL", F.round("CUSTO_POTENCIAL", 2))
 
 
+def _rounded_reports(df):
+    return df.withColumns({"cost": F.round("cost", 2), "share": F.round("share", 6)})
+
+
+@query
+def summary_reports(spark, folder):
+    """All four reports from one scan."""
+    return _rounded_reports(reports.summary_reports(_report(spark, folder)))
+
+
 # --- the whole pipeline -------------------------------------------------------
 
 
@@ -872,3 +919,12 @@ def full_pipeline(spark, folder):
 @query
 def full_pipeline_observed(spark, folder):
     return run_pipeline(raw_claims(spark, folder), mode="observed")
+
+
+@query
+def pipeline_reports(spark, folder):
+    """All four reports of the pipeline's result."""
+    names = {"network": "TP_REDE", "accommodation": "TP_ACOMODACAO", "detail": "TIPO_INTERNACAO"}
+    return _rounded_reports(
+        reports.summary_reports(QUERIES["full_pipeline"](spark, folder), cost="VLR_PROD_MEDICA", **names)
+    )
