@@ -17,7 +17,7 @@ from carespan.functions.values import DATE_FORMAT, days_between, parse_date
 from carespan.operators.care import INPATIENT, care_type
 from carespan.plans.numbering import PIECE, running_total, stage_pieces
 from carespan.plans.skew import ROWS, attach, attach_measured, hot_limit, row_count
-from carespan.sources.staging import stage
+from carespan.sources.staging import stage, stage_and_measure
 
 
 BLOCK = 1_000_000  # stay numbers in one window
@@ -109,7 +109,7 @@ def _links(person: str, start: str, end: str, link: str):
         linked = s <= F.date_add(seen, 1)
         again = s.isNotNull()
     else:
-        raise ValueError(f"link must be 'previous' or 'running_max', not {link!r}")
+        raise ValueError(f"link must be 'previous', 'running_max' or 'session', not {link!r}")
     known = F.col(person).isNotNull()
     return (
         F.coalesce(known & linked, F.lit(False)),
@@ -176,6 +176,81 @@ def _stay_groups(
     return numbered, seen
 
 
+def _session_groups(
+    df: DataFrame, person: str, start: str, end: str
+) -> tuple[DataFrame, dict]:
+    """As ``_stay_groups`` with the link ``running_max``, from session windows.
+
+    A day of admission reaches to its latest discharge, and a window to the day after
+    that, since windows that touch are merged. Only the days of a person go through the
+    windows, not the lines. Rows without a person or a date are no part of a session.
+    """
+    s, e = F.coalesce(start, end), F.coalesce(end, start)
+    dated = F.col(person).isNotNull() & s.isNotNull()
+    groups = stage(
+        df.groupBy(person, start, end)
+        .agg(row_count())
+        .withColumns({"_day": F.when(dated, s), "_until": F.greatest(s, e)}),
+        "spans",
+    )
+    days = groups.filter(F.col("_day").isNotNull()).groupBy(person, "_day")
+    days = days.agg(
+        F.max("_until").alias("_until"),
+        F.min(start).alias("_stay_start"),  # the given dates, as a stay has them
+        F.max(end).alias("_stay_end"),
+    )
+    length = F.concat(F.date_diff("_until", "_day") + 1, F.lit(" days"))
+    sessions = days.groupBy(
+        person, F.session_window(F.col("_day").cast("timestamp"), length).alias("_window")
+    ).agg(
+        F.min("_day").alias("_first_day"),
+        F.collect_list("_day").alias("_days"),
+        F.min("_stay_start").alias("_stay_start"),
+        F.max("_stay_end").alias("_stay_end"),
+    )
+    alone = groups.filter(F.col("_day").isNull()).select(
+        person,
+        s.alias("_first_day"),
+        e.alias("_last_day"),
+        F.col(start).alias("_stay_start"),
+        F.col(end).alias("_stay_end"),
+        ROWS,
+        F.col(ROWS).alias("_weight"),
+    )
+    units = sessions.withColumn("_weight", F.lit(1).cast("long")).drop("_window")
+    units = units.unionByName(alone, allowMissingColumns=True)
+    pieces, _ = stage_pieces(
+        units.repartitionByRange(F.col(person).asc_nulls_first()), "sessions"
+    )
+    order = [
+        F.col(person).asc_nulls_first(),
+        F.col("_first_day").asc_nulls_first(),
+        F.col("_last_day").desc_nulls_last(),
+        F.col("_stay_start").asc_nulls_first(),
+        F.col("_stay_end").desc_nulls_last(),
+    ]
+    numbered = stage(running_total(pieces, order, "_weight", "_run"), "sessions")
+    by_day = numbered.filter(F.col("_days").isNotNull()).select(
+        person, F.explode("_days").alias("_day"), F.col("_run").alias("_id"), "_stay_start", "_stay_end"
+    )
+    # the sides are as large as the days of all persons at most
+    together = groups.join(by_day, [person, "_day"]).select(
+        person, start, end, ROWS, F.lit(False).alias("_spread"), "_id", "_stay_start", "_stay_end"
+    )
+    apart = numbered.filter(F.col("_days").isNull()).select(
+        person,
+        F.col("_stay_start").alias(start),
+        F.col("_stay_end").alias(end),
+        ROWS,
+        (F.col(ROWS) > 1).alias("_spread"),
+        (F.col("_run") - F.col("_weight") + 1).alias("_id"),
+        "_stay_start",
+        "_stay_end",
+    )
+    found = together.unionByName(apart).withColumn("_at_first", F.lit(True))
+    return stage_and_measure(found, "stays", top=F.max(ROWS), spread=F.bool_or("_spread"))
+
+
 def number_stays(
     df: DataFrame,
     *,
@@ -194,7 +269,8 @@ def number_stays(
     ``previous`` links a row to the row before it in order of admission (then
     longest first) when they overlap or lie one day apart; ``running_max`` links
     it to all rows before it, so a short row inside a long one does not end the
-    stay. Stays are numbered 1.. in order of person and admission. Rows alike in
+    stay. ``session`` gives the stays of ``running_max`` by session windows, where no
+    discharge is before its admission (one that is counts as on that day). Stays are numbered 1.. in order of person and admission. Rows alike in
     person and dates that are each a stay of their own are numbered by the columns of
     ``order`` that the table has, then by all others, however the rows arrive.
     """
@@ -203,7 +279,10 @@ def number_stays(
     if not stay_dates:
         given = {stay: "_id"}
     df = df.drop(*given)
-    groups, seen = _stay_groups(df, person, start, end, link)
+    if link == "session":
+        groups, seen = _session_groups(df, person, start, end)
+    else:
+        groups, seen = _stay_groups(df, person, start, end, link)
     # one row per group, so that copies of hot groups are dealt out, spread or not
     firsts = groups.filter("_at_first").select(
         *keys, ROWS, "_spread", "_id", "_stay_start", "_stay_end"

@@ -299,6 +299,19 @@ def stays_running_max_nulls(spark, folder):
     return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
 
 
+@query
+def stays_session(spark, folder):
+    """Stays by session windows."""
+    return _stays(spark, folder, "session")
+
+
+@query
+def stays_session_nulls(spark, folder):
+    """By session windows, where some lines have no person or no dates."""
+    out = stays.consolidate_stays(dated_claims(spark, folder), link="session")
+    return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
+
+
 @query
 def stays_without_dates(spark, folder):
     out = stays.consolidate_stays(dated_claims(spark, folder), stay_dates=False)

@@ -242,3 +242,38 @@ def test_consolidate_stays_keeps_inpatients(spark):
     assert out.count() == 1
     assert out.first().DT_ALTA == date(2020, 1, 2)
     assert "DT_ALTA" not in stays.consolidate_stays(df, stay_dates=False).columns
+
+
+@pytest.mark.parametrize(("seed", "n", "persons", "null", "span"), [(1, 400, 6, 0.0, 60), (2, 400, 5, 0.15, 40), (3, 300, 1, 0.05, 300), (4, 60, 30, 0.4, 9)])
+def test_session_windows_give_the_running_max(spark, seed, n, persons, null, span):
+    df = make(spark, random_rows(seed, n, persons, null, span))
+    assert rows(number(df, "session")) == rows(number(df, "running_max"))
+
+
+def test_session_windows_with_hot_keys(spark, hot):
+    data = random_rows(5, 120, 2, 0.2, 10)
+    data += [(200 + i, None, None, None) for i in range(9)] + [(300 + i, "p1", None, None) for i in range(5)]
+    df = make(spark, data)
+    assert rows(number(df, "session")) == rows(number(df, "running_max"))
+
+
+def test_sessions_that_touch_and_that_do_not(spark):
+    first = date(2020, 2, 27)
+    data = [
+        (1, "a", first, first + DAY),
+        (2, "a", first + 2 * DAY, first + 2 * DAY),  # the day after the discharge
+        (3, "a", first + 4 * DAY, first + 9 * DAY),  # two days after
+        (4, "a", first + 5 * DAY, first + 5 * DAY),  # inside
+        (5, "a", first + 10 * DAY, None),
+        (6, "b", first, first + DAY),
+    ]
+    got = {r.n: (r.id, r.a, r.b) for r in number(make(spark, data), "session").collect()}
+    assert [got[n][0] for n in range(1, 7)] == [1, 1, 2, 2, 2, 3]
+    assert got[1][1:] == (first, first + 2 * DAY) and got[4][1:] == (first + 4 * DAY, first + 9 * DAY)
+
+
+def test_sessions_see_days_not_lines(spark):
+    df = make(spark, [(i, "p", date(2020, 1, 1 + i % 3), date(2020, 1, 2 + i % 3)) for i in range(500)])
+    _, seen = stays._session_groups(df, "p", "s", "e")
+    assert seen["top"] == 167 and not seen["spread"]
+    assert number(make(spark, []), "session").count() == 0
