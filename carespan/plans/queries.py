@@ -18,7 +18,7 @@ from carespan.plans import skew
 from carespan.plans.claims import RAW_COLUMNS
 from carespan.plans.pipeline import run_pipeline
 from carespan.plans.session import tune
-from carespan.sources import tables
+from carespan.sources import tables, typed
 from carespan.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -660,6 +660,43 @@ def csv_round_trip(spark, folder):
     return tables.read_claims_csv(spark, path, columns=df.columns, multi_line=True)
 
 
+LINE_TYPES = {"pedido": "integer", "cliente": "integer", "valor": "number", "data": "date"}
+
+
+def _loaded_lines(spark, folder):
+    """Orders as lines with semicolons in Latin-1, some bad in one of four ways, read by type."""
+    path = new_path(spark, "claim-lines")
+    way = F.col("o_orderkey") % 10
+    fields = [
+        text("o_orderkey"),
+        F.when(way == 6, "x").otherwise(text("o_custkey")),
+        F.when(way == 5, "abc").when(way == 8, "").otherwise(text(F.floor("o_totalprice"))),
+        F.when(way == 6, "31/02/2020").otherwise(br("o_orderdate")),
+        F.concat(F.lit('"São; '), F.col("o_orderpriority"), F.lit('"')),
+    ]
+    line = F.concat_ws(";", *fields)
+    line = F.when(way == 3, F.concat(line, F.lit(";mais"))).when(way == 4, F.concat_ws(";", *fields[:3])).otherwise(line)
+    # one column whose text is left as it is
+    as_is = {"sep": "\x01", "quote": "", "encoding": "ISO-8859-1", "escapeQuotes": "false"}
+    table(spark, folder, "orders").select(line).write.options(**as_is).csv(path)
+    return typed.read_claims_typed(
+        spark, path, LINE_TYPES, sep=";", encoding="ISO-8859-1", columns=[*LINE_TYPES, "nota"],
+        header=False, quarantine=new_path(spark, "bad-lines"),
+    )
+
+
+@query
+def csv_typed(spark, folder):
+    """The lines that are good, by their declared types."""
+    return _loaded_lines(spark, folder).good
+
+
+@query
+def csv_quarantine(spark, folder):
+    """The lines that are bad, and why."""
+    return _loaded_lines(spark, folder).bad.select("line", "reason")
+
+
 @query
 def translate_columns(spark, folder):
     names = {"c_custkey": "COD_CLIENTE", "c_name": "NOME", "c_nationkey": "UF", "absent": "X"}
