@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carespan.operators import care, codes, consolidate, diagnosis, normalize, person
+from carespan.operators import care, codes, consolidate, diagnosis, identity, normalize, person
 from carespan.operators import policy, quality, reports, shape, stays
 from carespan.plans import skew
 from carespan.plans.claims import RAW_COLUMNS
@@ -203,6 +203,25 @@ def person_key_by_priority(spark, folder):
     )
 
 
+@query
+def person_by_links(spark, folder):
+    """Customers joined by their orders, and some by groups of seven orders."""
+    client, order = F.col("ID_PESSOA"), F.col("COD_CONTROLE")
+    df = claims(spark, folder).select(
+        text(order).alias("COD_CONTROLE"),
+        "NR_LINHA",
+        F.when(F.col("TP_REDE") == "R", ".").otherwise(text(client)).alias("CLIENTE"),
+        F.when(client % 67 == 0, F.concat(F.lit("g"), text(F.floor(order / 7)))).otherwise(" ").alias("GRUPO"),
+    )
+    return identity.person_by_links(df, identifiers=["CLIENTE", "GRUPO", "COD_CONTROLE"])
+
+
+@query
+def person_by_links_giant(spark, folder):
+    """All identifiers, of which suppliers and parts join nearly all rows."""
+    return identity.person_by_links(identified_claims(spark, folder))
+
+
 @query
 def client_code_fill(spark, folder):
     df = identified_claims(spark, folder).drop("NUM_PEDIDO_INTER")
