@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carespan.operators import care, codes, consolidate, diagnosis, identity, normalize, person
-from carespan.operators import policy, quality, reports, shape, stays
+from carespan.operators import parameters, policy, quality, reports, shape, stays
 from carespan.plans import skew
 from carespan.plans.claims import RAW_COLUMNS
 from carespan.plans.pipeline import run_pipeline
@@ -182,6 +182,27 @@ def icu_flag(spark, folder):
     )
 
 
+@query
+def icu_flag_by_table(spark, folder):
+    """Intensive care by a list of codes for each of two columns, made from the parts."""
+    part = table(spark, folder, "part")
+    listed = part.select(text("p_partkey").alias("value"), "p_size")
+    lists = [("COD_ACOMODACAO_TISS", 1, 12, 2, "SIM"), ("COD_ACOMODACAO_TISS_PEDIDO", 9, 30, 1, "TALVEZ")]
+    rules = None
+    for column, low, high, place, result in lists:
+        own = listed.filter(F.col("p_size").between(low, high)).select(
+            F.lit(place).alias("place"), F.lit(column).alias("column"), "value", F.lit(result).alias("result")
+        )
+        rules = own if rules is None else rules.unionByName(own)
+    df = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_quantity") > 48, F.lit(None)).otherwise(text("l_suppkey")).alias("COD_ACOMODACAO_TISS"),
+        F.when(F.col("l_returnflag") == "R", care.HASHED_MISSING).otherwise(text("l_partkey")).alias("COD_ACOMODACAO_TISS_PEDIDO"),
+    )
+    return parameters.icu_day_by_table(df, rules, columns=parameters.ICU_COLUMNS[:2])
+
+
 # --- person keys ----------------------------------------------------------
 
 
