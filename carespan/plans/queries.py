@@ -19,7 +19,7 @@ from carespan.plans.claims import RAW_COLUMNS
 from carespan.plans.pipeline import run_pipeline
 from carespan.plans.session import tune
 from carespan.sources import tables, typed
-from carespan.sources.staging import new_path
+from carespan.sources.staging import fingerprint, new_path, resumable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -339,6 +339,17 @@ def stays_running_max_nulls(spark, folder):
     return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
 
 
+@query
+def stays_resumed(spark, folder):
+    """Stays of a run that finds all its stages kept by the run before."""
+    place = new_path(spark, "resumed")
+    inputs = [f"{folder}/{name}.parquet" for name in ("lineitem", "orders")]
+    for _ in range(2):
+        with resumable(spark, place, fingerprint(spark, inputs, "running_max")):
+            out = _stays(spark, folder, "running_max")
+    return out
+
+
 @query
 def stays_session(spark, folder):
     """Stays by session windows."""
@@ -606,6 +617,28 @@ def code_closure_cycles(spark, folder):
     )
 
 
+def _branching(spark, folder):
+    """Codes with two targets each, some of which lead round in circles of two."""
+    key = F.col("p_partkey")
+    twin = F.when(key % 50 == 48, key + 1).when(key % 50 == 49, key - 1)
+    targets = F.array_compact(F.array(F.floor(key / 2), F.floor(key / 3), twin)).cast("array<long>")
+    return table(spark, folder, "part").select(
+        key.alias(codes.FROM_CODE), F.explode(targets).alias(codes.TO_CODE)
+    )
+
+
+@query
+def code_ends_all(spark, folder):
+    """Every end that a code's mappings lead to, and in how many steps at least."""
+    return codes.reachable_ends(_branching(spark, folder))
+
+
+@query
+def code_ends_last(spark, folder):
+    """Where a code has several targets and only the last one counts."""
+    return codes.reachable_ends(_branching(spark, folder), targets="largest")
+
+
 @query
 def code_table_end_codes(spark, folder):
     return codes.add_end_code(_edges(spark, folder))
