@@ -179,28 +179,22 @@ def consolidate_birth_date(
 def change_report(
     df: DataFrame, *, attribute: str, corrected: str, value: str, parse: str = "money"
 ) -> DataFrame:
-    """Per category: value before, value after, and rows that moved out of it."""
-    v = read_value(value, parse)
-    side = F.explode(
-        F.array(
-            F.struct(
-                F.col(attribute).alias("category"),
-                v.alias("before"),
-                F.lit(None).cast("double").alias("after"),
-                F.coalesce((F.col(attribute) != F.col(corrected)).cast("long"), F.lit(0)).alias(
-                    "changed"
-                ),
-            ),
-            F.struct(
-                F.col(corrected).alias("category"),
-                F.lit(None).cast("double").alias("before"),
-                v.alias("after"),
-                F.lit(0).cast("long").alias("changed"),
-            ),
-        )
+    """Per category: value before, value after, and rows that moved out of it.
+
+    The facts shrink to one row per pair of categories; only the pairs count twice, once
+    for the category before and once for the one after.
+    """
+    pairs = df.groupBy(F.col(attribute).alias("old"), F.col(corrected).alias("new")).agg(
+        F.sum(read_value(value, parse)).alias("value"), F.count(F.lit(1)).alias("rows")
+    )
+    moved = F.when(F.col("old") != F.col("new"), F.col("rows")).otherwise(0)
+    none = F.lit(None).cast("double")
+    sides = F.array(
+        F.struct(F.col("old").alias("category"), F.col("value").alias("before"), none.alias("after"), moved.alias("changed")),
+        F.struct(F.col("new").alias("category"), none.alias("before"), F.col("value").alias("after"), F.lit(0).cast("long").alias("changed")),
     )
     return (
-        df.select(side.alias("s"))
+        pairs.select(F.explode(sides).alias("s"))
         .select("s.*")
         .groupBy("category")
         .agg(

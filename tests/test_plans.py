@@ -108,3 +108,10 @@ def test_copies_are_dealt_out_too(spark):
     facts = spark.createDataFrame([("k", 1)] * 400, "k string, v int").repartition(8)
     dealt = facts.withColumn(skew.SALTS, F.lit(40)).select(skew._deal(facts).alias("salt"))
     assert dealt.distinct().count() > 4
+
+
+def test_change_report_doubles_pairs_not_facts(facts):
+    text = plan(consolidate.change_report(facts, attribute="a", corrected="u", value="v", parse="number"))
+    # from the scan up: the facts are aggregated before anything is generated
+    assert text.index("Generate") < text.rindex("HashAggregate") < text.index("FileScan")
+    assert "ReadSchema: struct<u:int,a:string,v:decimal(3,1)>" in text
