@@ -68,6 +68,15 @@ def labelled_texts(
     return list(found.items())
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sends few texts at a time to Python from now on: the buffers on both sides stay small.
+
+    By default a batch may be ten thousand texts, or 64 MB, on its way in and again out.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def small_slices(batches, rows: int = 500):
     """Batches in slices, so that few texts are unpacked at a time."""
     for b in batches:

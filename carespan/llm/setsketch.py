@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.llm.common import kept_text
@@ -174,16 +174,11 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return (low + high) / 2
 
 
-def text_groups(
-    batches: Iterator[pa.RecordBatch], column: str, inside: str | None = None
-) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of batches, each with its texts, of some GROUP_WORDS words.
-
-    The texts are a column, or a field of the struct column ``inside``.
-    """
+def text_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of batches, each with its texts, of some GROUP_WORDS words."""
     for b in batches:
         start, size, texts = 0, 0, []
-        for i, t in enumerate(b.column(column) if inside is None else b.column(inside).field(column)):
+        for i, t in enumerate(b.column(column)):
             texts.append(t.as_py() or "")
             size += len(texts[-1])
             if size >= 6 * GROUP_WORDS or i + 1 == b.num_rows:
@@ -258,10 +253,10 @@ def near(a: Column, b: Column) -> Column:
     return THRESHOLD[1] * F.least(a, b) >= THRESHOLD[0] * F.greatest(a, b)
 
 
-def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every row, numbered, with its set's digests, size, band keys and sketch; staged."""
+def sketched(docs: DataFrame, key: str, text: str, number: Column) -> DataFrame:
+    """Every row, by its number, with its set's digests, size, band keys and sketch; staged."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
+        number.alias("uid"),
         F.col(key).cast("long").alias("id"),
         kept_text(F.col(text)).alias("text"),
     )
@@ -388,12 +383,12 @@ def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, key:
     return relabelled(labels, found.union(block_links(left.filter(F.col("size") > SMALL), sketches, sets)))
 
 
-def placed_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every row's id, its set's digests and size, its component's root and least id.
+def placed_rows(docs: DataFrame, key: str, text: str, number: Column | None = None) -> DataFrame:
+    """Every row's number and id, its set's digests and size, its component's root and least id.
 
-    Rows without shingles have no root and their own id.
+    Rows without shingles have no root and their own id. ``number`` tells rows apart.
     """
-    rows = sketched(docs, key, text)
+    rows = sketched(docs, key, text, F.monotonically_increasing_id() if number is None else number)
     digest = ["h1", "h2", "n"]
     classes = rows.filter("n > 0").groupBy(*digest).agg(F.min("uid").alias("cid"), F.min("id").alias("least"))
     classes = stage(classes, "classes")
@@ -402,7 +397,7 @@ def placed_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     placed = stage(placed.withColumn("root", F.coalesce("root", "cid")), "classes")
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = stage(placed.join(least, "root").select(*digest, "root", "component_id"), "classes")
-    narrow = rows.select("id", *digest)
+    narrow = rows.select("uid", "id", *digest)
     full = narrow.filter("n > 0").join(of_class, digest)
     empty = narrow.filter("n = 0").withColumns({"root": F.lit(None).cast("long"), "component_id": F.col("id")})
     return full.unionByName(empty)
@@ -425,31 +420,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     )
 
 
-def digest_rows(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Adds h1, h2 and n of the set of the row's text to (row, id)."""
-    hashes = WordHashes()
-    for b, texts in text_groups(batches, text, "row"):
-        elements, sizes = shingle_sets(texts, hashes)
-        h1, h2 = (pa.array(h.astype(np.int64)) for h in set_digests(elements, sizes))
-        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), h1, h2, pa.array(sizes.astype(np.int64))], ["row", "id", "h1", "h2", "n"])
-
-
 def without_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, all columns: the one of the least id.
 
     Rows without an id come after all others in a component; of rows alike in id and
     set, one stays. Rows without words are linked with nothing and all stay.
     """
-    digest = ["h1", "h2", "n"]
-    found = placed_rows(docs, key, text).filter(F.col("root").isNotNull())
-    order = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), *digest)
-    first = found.groupBy("root").agg(F.min_by(F.struct("id", *digest), order).alias("first")).select("first.*")
-    winners = stage(first.select("id", *[F.col(c).alias(f"w{i}") for i, c in enumerate(digest)]), "winners")
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"))
-    schema = rows.select("row", "id").schema.add("h1", "long").add("h2", "long").add("n", "long")
-    rows = rows.mapInArrow(lambda batches: digest_rows(batches, text), schema)
-    same = rows.id.eqNullSafe(winners.id) & (F.col("h1") == F.col("w0")) & (F.col("h2") == F.col("w1")) & (F.col("n") == F.col("w2"))
-    chosen = rows.filter("n > 0").join(winners, same, "left_semi")
-    line = Window.partitionBy("id", "h1", "h2").orderBy("n")
-    chosen = chosen.withColumn("copy", F.row_number().over(line)).filter("copy = 1")
-    return chosen.select("row.*").unionByName(rows.filter("n = 0").select("row.*"))
+    numbered = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid")), "numbered")
+    inner = numbered.select("uid", F.col("row").getField(key).alias("key"), F.col("row").getField(text).alias("text"))
+    found = placed_rows(inner, "key", "text", F.col("uid"))
+    order = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), "h1", "h2", "n", "uid")
+    first = found.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min_by("uid", order).alias("uid")).select("uid")
+    kept = stage(first.unionByName(found.filter(F.col("root").isNull()).select("uid")), "kept")
+    return numbered.join(kept, "uid", "left_semi").select("row.*")
