@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.llm.common import kept_text
-from carespan.llm.graph import components
+from carespan.operators.identity import connected
 from carespan.sources.staging import stage
 
 WIDTH = 5  # words of a shingle
@@ -285,7 +285,7 @@ def relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
     """``labels`` (node, root) after the links ``found`` (a, b) have joined components."""
     a, b = (labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
     bridges = found.join(a, "a").join(b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-    tops = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    tops = connected(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
     return stage(labels.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "labels")
 
 
@@ -344,7 +344,7 @@ def block_links(members: DataFrame, sketches: DataFrame, sets: DataFrame) -> Dat
     two chunks are compared in one task, so pairs are never rows.
     """
     hub = members.groupBy("band").agg(F.min("cid").alias("a"))
-    groups = components(members.join(hub, "band").select("a", F.col("cid").alias("b")).distinct())
+    groups = connected(members.join(hub, "band").select("a", F.col("cid").alias("b")).distinct())
     rows = members.select("cid", "root").distinct().join(groups.select(F.col("node").alias("cid"), F.col("root").alias("group")), "cid")
     rows = stage(rows.join(sketches, "cid").join(sets, "cid"), "group-members")
     weight = F.count(F.lit(1)) / CHUNK_ROWS, F.sum(F.length("elements")) / CHUNK_BYTES
