@@ -1,11 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one on what sets toxic
-text apart, laid after the same ordinary text. A window of a document is compressed with
-each; the bytes that the toxic dictionary saves are the window's gain. Ordinary windows
-gain next to nothing, windows with toxic passages a few bytes. How many windows pass
-each of a row of gains is turned into a score, fitted on documents that the
+Two zstandard dictionaries are trained, one on ordinary text and one on the passages that
+set toxic text apart, which is laid after the ordinary one. A window of a document is
+compressed with each; the bytes that the toxic dictionary saves are the window's gain.
+Ordinary windows gain next to nothing, windows with toxic passages a few bytes. How many
+windows pass each of a row of gains is turned into a score, fitted on documents that the
 dictionaries have not seen; 0.5 is where the two classes part best.
+
+A very long text is scored whole, in batches of windows. An empty table has no scores.
 """
 
 from __future__ import annotations
@@ -63,8 +65,8 @@ def telling(toxic: Sequence[bytes], ordinary: Sequence[bytes], *, share: float =
     return seen[keep]
 
 
-def passages(texts: Sequence[bytes], told: np.ndarray) -> list[bytes]:
-    """Runs of bytes that telling sequences cover, commonest first."""
+def passages(texts: Sequence[bytes], told: np.ndarray) -> Counter[bytes]:
+    """Runs of bytes that telling sequences cover, and how often each comes."""
     found: Counter[bytes] = Counter()
     for t in texts:
         hits = np.isin(sequences(t), told)
@@ -73,15 +75,25 @@ def passages(texts: Sequence[bytes], told: np.ndarray) -> list[bytes]:
             covered[1 + i : 1 + i + len(hits)] |= hits
         edges = np.flatnonzero(covered[1:] != covered[:-1])
         found.update(t[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-    return [p for p, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))]
+    return found
 
 
-def ordinary_dictionary(texts: Sequence[bytes]) -> bytes:
-    samples = [t[i : i + 256] for t in texts for i in range(0, len(t), 256)][:40_000]
+def trained(samples: list[bytes], size: int) -> bytes:
+    """The content of a dictionary trained on all samples; their ends, if they are too few to train on."""
     try:
-        return zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on
-        return b"".join(samples)[-ORDINARY_BYTES:]
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
+
+
+def ordinary_dictionary(texts: Sequence[bytes]) -> bytes:
+    return trained([t[i : i + 256] for t in texts for i in range(0, len(t), 256)], ORDINARY_BYTES)
+
+
+def toxic_dictionary(found: Counter[bytes]) -> bytes:
+    """Trained on all passages, as often as they come, the commonest last."""
+    line = sorted(found.items(), key=lambda x: (x[1], x[0]))
+    return trained([p for p, n in line for _ in range(n)], TOXIC_BYTES)
 
 
 def compressor(dictionary: bytes, level: int = 3) -> zstandard.ZstdCompressor:
@@ -184,13 +196,8 @@ def learn(examples: Sequence[tuple[bytes, int]]) -> ToxicityModel | None:
     seen = {y: [t for i, t in enumerate(s) if i % 3] for y, s in sides.items()}
     fresh = [(t, y) for y, s in sides.items() for i, t in enumerate(s) if i % 3 == 0]
     ordinary = ordinary_dictionary(seen[0])
-    toxic = b""
-    for p in passages(seen[1], telling(seen[1], seen[0])):
-        if p not in toxic:
-            toxic = p + toxic  # the commonest are nearest to the window
-        if len(toxic) > TOXIC_BYTES:
-            break
-    model = ToxicityModel(ordinary, ordinary + toxic[-TOXIC_BYTES:], np.zeros(0))
+    toxic = toxic_dictionary(passages(seen[1], telling(seen[1], seen[0])))
+    model = ToxicityModel(ordinary, ordinary + toxic, np.zeros(0))
     y = np.array([label for _, label in fresh], float)
     x = model.features([t for t, _ in fresh])
     model.weights = logistic(x, y)
