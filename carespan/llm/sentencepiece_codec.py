@@ -195,15 +195,19 @@ class Codec:
         self.differing: set[str] = set()
         reference = sentencepiece.SentencePieceProcessor()
         reference.LoadFromSerializedProto(message)
+        self.reference = reference
         # in normalised text a marker is 3 bytes, in decoded text a space is 1
         sizes = np.array([1 if k == BYTE else len(p.encode()) for p, k in zip(self.model.pieces, self.model.kinds, strict=True)])
         sizes[self.model.unknown] = 1 << 40  # stands for any length: such parts are encoded alone
         encode = part_encoder(self.model.tokenizer(), self.dtype, sizes, lambda p: p[0] == MARKER and p[-1] != MARKER)
 
+        #: a model with other settings would change a part that stands alone
+        self.compared = bool(self.model.dummy_prefix and not self.model.charsmap and not self.model.one_space)
+
         def verified(parts: list[str]) -> list[bytes]:
             out = encode(parts)
-            if not self.model.dummy_prefix or self.model.charsmap or self.model.one_space:
-                return out  # such a model would change a part that stands alone
+            if not self.compared:
+                return out
             texts = [p[1:].replace(MARKER, " ") for p in parts]
             for i, ids in enumerate(reference.encode(texts, num_threads=1)):
                 wanted = np.array(ids, self.dtype).tobytes()
@@ -230,6 +234,12 @@ class Codec:
         """Whether a part of the text was one on which the libraries differ."""
         return bool(self.differing) and any(p in self.differing for p in _PART.findall(normalized))
 
+    def parity(self, text: str, normalized: str, ids: bytes) -> bool:
+        """Whether the library encodes the text alike; of whole texts where parts cannot be compared."""
+        if self.compared:
+            return not self.differ(normalized)
+        return np.array(self.reference.encode(text, num_threads=1), self.dtype).tobytes() == ids
+
 
 @lru_cache(maxsize=2)
 def codec(path: str, threads: int) -> Codec:
@@ -244,18 +254,21 @@ def encode_rows(docs: DataFrame, path: str, *, text: str = "text", threads: int
 
     Every node needs the model file at ``path``. A null text is encoded as the empty
     text: no ids. ``round_trip``: decoding gives the normalised text back (never with an
-    unknown character). ``parity``: both libraries encoded every part alike. The new
-    columns take the place of columns of the same names; all others pass through.
+    unknown character). ``parity``: both libraries encoded every part alike, or the whole
+    text where the model's settings let no part stand alone. The new columns take the place
+    of columns of the same names; all others pass through, whatever their names. A very long
+    text is encoded whole, in parts; an empty table gives no rows.
     """
     names = ADDED.names
     rest = [c for c in docs.columns if c not in names]
+    spare = "_".join(["text", *docs.columns])  # longer than any other name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, threads)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                texts = [t or "" for t in b.column("_text").to_pylist()]
+                texts = [t or "" for t in b.column(spare).to_pylist()]
                 normalized, ids = c.encode(texts)
                 numbers = [np.frombuffer(x, c.dtype).astype("<u4") for x in ids]
                 sizes = np.array([len(x) for x in numbers])
@@ -269,10 +282,10 @@ def encode_rows(docs: DataFrame, path: str, *, text: str = "text", threads: int
                         pa.array(sizes.astype(np.int32)),
                         pa.array([zlib.crc32(x) for x in numbers], pa.int64()),
                         pa.array([c.decode(x) == p[skip:] for x, p in zip(ids, plain, strict=True)], pa.bool_()),
-                        pa.array([not c.differ(n) for n in normalized], pa.bool_()),
+                        pa.array([c.parity(t, n, x) for t, n, x in zip(texts, normalized, ids, strict=True)], pa.bool_()),
                     ],
                     [*rest, *names],
                 )
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], kept_text(F.col(text)).alias("_text"))
-    return rows.mapInArrow(run, T.StructType([*rows.drop("_text").schema, *ADDED]))
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest], kept_text(F.col(f"`{text}`")).alias(spare))
+    return rows.mapInArrow(run, T.StructType([*rows.drop(spare).schema, *ADDED]))

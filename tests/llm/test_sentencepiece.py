@@ -111,3 +111,19 @@ def test_a_differing_part_takes_the_library_ids():
     normalized, ids = codec.encode([text])
     codec.differing.add(c._PART.findall(normalized[0])[3])
     assert codec.differ(normalized[0]) and not codec.differ("▁zzz")
+
+
+def test_parity_of_models_whose_parts_cannot_be_compared():
+    """Whole texts are compared; a wrong encoding is told."""
+    codec = c.Codec(unigram_model(1, dummy_prefix=0))
+    assert not codec.compared
+    texts = ["the thing", "", "of  the", "ringing"]
+    normalized, ids = codec.encode(texts)
+    assert [codec.parity(*x) for x in zip(texts, normalized, ids, strict=True)] == [True] * 4
+    assert not codec.parity("the thing", normalized[0], ids[3])
+
+
+def test_clashing_names(spark):
+    df = documents(spark, ["the cat", None]).withColumns({n: F.lit(1) for n in ("_text", "text_", "row", "n_tokens")})
+    got = c.encode_rows(df, PATH).orderBy("doc_id").collect()
+    assert [r["_text"] for r in got] == [1, 1] and got[0].n_tokens > 1 and got[1].n_tokens == 0
