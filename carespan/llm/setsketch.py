@@ -108,6 +108,19 @@ def set_digests(elements: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
     return out[0], out[1]
 
 
+def register(k: int, order: np.ndarray) -> np.ndarray:
+    """The k-th register of each element, by the bits of ``order``: all come once, in no progression.
+
+    Odd factors, sums and exclusive ors with higher bits are one-to-one on M registers.
+    """
+    at = np.full(len(order), k, np.int64)
+    for turn in range(3):
+        bits = order >> (20 * turn)
+        at = (at * (2 * (bits & 1023) + 1) + ((bits >> 10) & 1023)) & (M - 1)
+        at ^= at >> (3 + turn % 2)
+    return at
+
+
 def registers(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The sketch of each set, one row of M registers.
 
@@ -119,18 +132,17 @@ def registers(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     least = np.full((n, M), np.inf)
     owner = np.repeat(np.arange(n), sizes)
     x = np.zeros(len(elements))
-    shift = (scrambled(elements, 31) >> np.uint64(40)).astype(np.int64)
-    stride = (scrambled(elements, 32) >> np.uint64(40)).astype(np.int64) | 1  # odd: visits all registers
+    order = scrambled(elements, 31).astype(np.int64)  # its bits choose the element's order of registers
     element = elements
     flat = least.reshape(-1)
     for k in range(M):
         u = ((scrambled(element, 100 + k) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
         x = x - np.log(u) / (RATE * (M - k))
-        np.minimum.at(flat, owner * M + ((shift + k * stride) & (M - 1)), x)
+        np.minimum.at(flat, owner * M + register(k, order), x)
         if k < 16 or k % 8 == 7:
             going = x < least.max(1)[owner]
             if not going.all():
-                x, owner, shift, stride, element = x[going], owner[going], shift[going], stride[going], element[going]
+                x, owner, order, element = x[going], owner[going], order[going], element[going]
             if not len(x):
                 break
     with np.errstate(divide="ignore"):

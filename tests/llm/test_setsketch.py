@@ -112,3 +112,20 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(10, 40)] + [(50, 51), (53, 51), (60, 60)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 10 for i in range(10, 41)}, 50: 50, 51: 50, 53: 50}
+
+
+def test_every_element_visits_all_registers_in_an_order_of_its_own():
+    orders = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 500)
+    visits = np.stack([s.register(k, orders) for k in range(s.M)])
+    assert (np.sort(visits, axis=0) == np.arange(s.M)[:, None]).all()
+    steps = np.diff(visits, axis=0) % s.M
+    assert ((steps == steps[0]).mean(axis=0) < 0.5).mean() > 0.95  # hardly any is a progression
+
+
+@pytest.mark.parametrize(("size", "common"), [(4, 3), (8, 6)])
+def test_small_sets_at_the_threshold_share_a_band(size, common):
+    n = 4000
+    elements = np.random.default_rng(size).integers(0, 2**63, (n, size)).astype(np.uint64)
+    whole, part = (np.sort(e, axis=1).reshape(-1) for e in (elements, elements[:, :common]))
+    a, b = (s.band_keys(s.registers(e, np.full(n, k))) for e, k in ((whole, size), (part, common)))
+    assert (a == b).any(axis=1).all()
