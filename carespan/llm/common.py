@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 #: a word is a run of anything but space, tab, line feed, vertical tab, form feed, return
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TOKENIZER_FOLDER = "/opt/tokenizers"
 
 
 def tokenizer_file(name: str) -> str:
-    """Where a public tokenizer's file lies; the folder is a setting of the machine."""
-    return os.path.join(os.environ.get("TOKENIZER_FOLDER", TOKENIZER_FOLDER), name)
+    """Where a public tokenizer's file lies: in the folder TOKENIZER_FOLDER, if set, or that of the package."""
+    folder = os.environ.get("TOKENIZER_FOLDER")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
