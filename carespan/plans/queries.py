@@ -19,7 +19,7 @@ from carespan.plans.claims import RAW_COLUMNS
 from carespan.plans.pipeline import run_pipeline
 from carespan.plans.session import tune
 from carespan.sources import tables, typed
-from carespan.sources.staging import fingerprint, new_path, resumable
+from carespan.sources.staging import fingerprint, new_path, resumable, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,11 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Claims for operators that read them several times: lines and orders are joined once."""
+    return stage(df, "claims")
+
+
 def identified_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claims with identifier columns that are blank for some kinds of line."""
     net, room = F.col("TP_REDE"), F.col("TP_ACOMODACAO")
@@ -208,18 +213,18 @@ def icu_flag_by_table(spark, folder):
 
 @query
 def person_key_observed(spark, folder):
-    return person.person_key(identified_claims(spark, folder))
+    return person.person_key(kept(identified_claims(spark, folder)))
 
 
 @query
 def person_key_intended(spark, folder):
-    return person.person_key(identified_claims(spark, folder), mode="intended")
+    return person.person_key(kept(identified_claims(spark, folder)), mode="intended")
 
 
 @query
 def person_key_by_priority(spark, folder):
     return person.person_key(
-        identified_claims(spark, folder),
+        kept(identified_claims(spark, folder)),
         hierarchy=["COD_CONTROLE", "COD_ENTIDADE_TS_SEGURADO"],
     )
 
@@ -234,33 +239,33 @@ def person_by_links(spark, folder):
         F.when(F.col("TP_REDE") == "R", ".").otherwise(text(client)).alias("CLIENTE"),
         F.when(client % 67 == 0, F.concat(F.lit("g"), text(F.floor(order / 7)))).otherwise(" ").alias("GRUPO"),
     )
-    return identity.person_by_links(df, identifiers=["CLIENTE", "GRUPO", "COD_CONTROLE"])
+    return identity.person_by_links(kept(df), identifiers=["CLIENTE", "GRUPO", "COD_CONTROLE"])
 
 
 @query
 def person_by_links_giant(spark, folder):
     """All identifiers, of which suppliers and parts join nearly all rows."""
-    return identity.person_by_links(identified_claims(spark, folder))
+    return identity.person_by_links(kept(identified_claims(spark, folder)))
 
 
 @query
 def client_code_fill(spark, folder):
     df = identified_claims(spark, folder).drop("NUM_PEDIDO_INTER")
     return person.client_code(
-        df, fallbacks=["NUM_AGR_INTER", "NUM_SENHA_INTER"], parse="number", ties="one"
+        kept(df), fallbacks=["NUM_AGR_INTER", "NUM_SENHA_INTER"], parse="number", ties="one"
     )
 
 
 @query
 def client_code_all_owners(spark, folder):
     df = identified_claims(spark, folder).drop("NUM_PEDIDO_INTER")
-    return person.client_code(df, fallbacks=["NUM_AGR_INTER", "COD_CONTROLE"], parse="number")
+    return person.client_code(kept(df), fallbacks=["NUM_AGR_INTER", "COD_CONTROLE"], parse="number")
 
 
 @query
 def client_code_report(spark, folder):
     df = person.client_code(
-        identified_claims(spark, folder), fallbacks=["NUM_AGR_INTER"], ties="one"
+        kept(identified_claims(spark, folder)), fallbacks=["NUM_AGR_INTER"], ties="one"
     )
     return person.fill_report(df, client="COD_ENTIDADE_TS_SEGURADO")
 
@@ -305,7 +310,7 @@ def _stays(spark, folder, link):
         "DT_INTERNACAO_CORRIGIDA",
         "DT_ALTA_CORRIGIDA",
     )
-    return stays.number_stays(df, link=link)
+    return stays.number_stays(kept(df), link=link)
 
 
 @query
@@ -328,14 +333,14 @@ STAY_COLUMNS = (
 
 @query
 def stays_from_text(spark, folder):
-    out = stays.consolidate_stays(dated_claims(spark, folder))
+    out = stays.consolidate_stays(kept(dated_claims(spark, folder)))
     return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
 
 
 @query
 def stays_running_max_nulls(spark, folder):
     """Lines of which some have no person or no dates, linked to all before them."""
-    out = stays.consolidate_stays(dated_claims(spark, folder), link="running_max")
+    out = stays.consolidate_stays(kept(dated_claims(spark, folder)), link="running_max")
     return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
 
 
@@ -359,13 +364,13 @@ def stays_session(spark, folder):
 @query
 def stays_session_nulls(spark, folder):
     """By session windows, where some lines have no person or no dates."""
-    out = stays.consolidate_stays(dated_claims(spark, folder), link="session")
+    out = stays.consolidate_stays(kept(dated_claims(spark, folder)), link="session")
     return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
 
 
 @query
 def stays_without_dates(spark, folder):
-    out = stays.consolidate_stays(dated_claims(spark, folder), stay_dates=False)
+    out = stays.consolidate_stays(kept(dated_claims(spark, folder)), stay_dates=False)
     return out.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS)
 
 
@@ -382,14 +387,14 @@ def stays_preaggregated(spark, folder):
 
 @query
 def readmission_gap(spark, folder):
-    return stays.readmission_gap(_stays(spark, folder, "running_max"), within_days=30)
+    return stays.readmission_gap(kept(_stays(spark, folder, "running_max")), within_days=30)
 
 
 @query
 def readmission_gap_observed(spark, folder):
-    df = stays.consolidate_stays(dated_claims(spark, folder))
+    df = stays.consolidate_stays(kept(dated_claims(spark, folder)))
     df = df.select("COD_CONTROLE", "NR_LINHA", *STAY_COLUMNS, "DT_INTERNACAO", "DT_ALTA")
-    return stays.readmission_gap(df, mode="observed")
+    return stays.readmission_gap(kept(df), mode="observed")
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carespan.operators import consolidate, normalize, person, quality, stays
 from carespan.plans import skew
+from carespan.plans.queries import QUERIES
 
 NAMES = (
     "u, p, s, e, a, v, t, COD_ENTIDADE_TS_SEGURADO, NUM_AGR_INTER, NUM_PEDIDO_INTER, COD_CONTROLE"
@@ -115,3 +116,14 @@ def test_change_report_doubles_pairs_not_facts(facts):
     # from the scan up: the facts are aggregated before anything is generated
     assert text.index("Generate") < text.rindex("HashAggregate") < text.index("FileScan")
     assert "ReadSchema: struct<u:int,a:string,v:decimal(3,1)>" in text
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["person_key_observed", "person_key_intended", "person_key_by_priority", "person_by_links_giant", "client_code_fill",
+     "stays_from_text", "stays_running_max_nulls", "stays_session_nulls", "stays_without_dates", "readmission_gap",
+     "readmission_gap_observed"],
+)
+def test_lines_and_orders_are_joined_once(spark, name):
+    files = QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "lineitem" in f or "orders" in f]
