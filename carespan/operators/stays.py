@@ -160,6 +160,14 @@ def _stay_groups(
         F.min(start).over(one_stay).alias("_stay_start"),
         F.max(end).over(one_stay).alias("_stay_end"),
     )
+    # the dates of the last copy's stay go along with the first's
+    copies = Window.partitionBy(person, start, end)
+    ranged = ranged.withColumns(
+        {
+            "_last_start": F.max_by("_stay_start", "_edge").over(copies),
+            "_last_end": F.max_by("_stay_end", "_edge").over(copies),
+        }
+    )
     pieces, seen = stage_pieces(
         ranged,
         "stays",
@@ -247,7 +255,13 @@ def _session_groups(
         "_stay_start",
         "_stay_end",
     )
-    found = together.unionByName(apart).withColumn("_at_first", F.lit(True))
+    found = together.unionByName(apart).withColumns(
+        {
+            "_at_first": F.lit(True),
+            "_last_start": F.col("_stay_start"),
+            "_last_end": F.col("_stay_end"),
+        }
+    )
     return stage_and_measure(found, "stays", top=F.max(ROWS), spread=F.bool_or("_spread"))
 
 
@@ -285,9 +299,19 @@ def number_stays(
         groups, seen = _stay_groups(df, person, start, end, link)
     # one row per group, so that copies of hot groups are dealt out, spread or not
     firsts = groups.filter("_at_first").select(
-        *keys, ROWS, "_spread", "_id", "_stay_start", "_stay_end"
+        *keys,
+        ROWS,
+        "_spread",
+        "_id",
+        (F.col("_id") + F.col(ROWS) - 1).alias("_last_id"),  # of a spread group
+        "_stay_start",
+        "_stay_end",
+        "_last_start",
+        "_last_end",
     )
     joined = attach_measured(df, firsts, keys, hot_limit(seen, df), null_safe=True)
+    if seen.get("spread"):
+        joined = stage(joined, "joined")  # read for both kinds of group
     out = joined.filter(~F.col("_spread")).select(
         *df.columns, *[F.col(c).alias(name) for name, c in given.items()]
     )
@@ -295,24 +319,23 @@ def number_stays(
         return out
     order = [c for c in order if c in df.columns]
     order += [c for c in df.columns if c not in order and c not in keys]
-    spread = _number_spread(joined.filter("_spread"), groups.filter("_spread"), keys, order)
+    spread = _number_spread(joined.filter("_spread"), keys, order)
     return out.unionByName(
         spread.select(*df.columns, *[F.col(c).alias(name) for name, c in given.items()])
     )
 
 
-def _number_spread(
-    rows: DataFrame, groups: DataFrame, keys: list[str], order: list[str]
-) -> DataFrame:
+def _number_spread(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Number the copies of rows that are each a stay of their own.
 
-    ``rows`` come with the stay of their group's first copy. They are laid out in
+    ``rows`` come with the stays of their group's first and last copy. They are laid out in
     ``order`` by a range shuffle; a copy's place in its group is its place in its piece
     plus the copies in the pieces before, so no group is ever gathered in one task.
     """
     own = rows.columns[: rows.columns.index("_spread")]
     line = [F.col(f"`{c}`").asc_nulls_first() for c in [*keys, *order]]
-    laid = rows.select(*own, F.col("_id").alias("_from"))
+    edges = ["_last_id", "_stay_start", "_stay_end", "_last_start", "_last_end"]
+    laid = rows.select(*own, F.col("_id").alias("_from"), *edges)
     laid = laid.repartitionByRange(*line).sortWithinPartitions(*line)
     # numbered by the task that sorts, so in the order of the sort
     rows = stage(
@@ -335,16 +358,13 @@ def _number_spread(
     )
     # the first copy may end the stay before, the last may begin the one after;
     # copies between them have only their own dates
-    edges = groups.select("_id", "_stay_start", "_stay_end", F.lit(True).alias("_is_edge"))
-    joined = numbered.join(edges, "_id", "left")
-    return joined.withColumns(
+    first, last = F.col("_id") == F.col("_from"), F.col("_id") == F.col("_last_id")
+    return numbered.withColumns(
         {
-            "_stay_start": F.when(F.col("_is_edge"), F.col("_stay_start")).otherwise(
-                F.col(keys[1])
-            ),
-            "_stay_end": F.when(F.col("_is_edge"), F.col("_stay_end")).otherwise(
-                F.col(keys[2])
-            ),
+            f"_stay_{side}": F.when(first, F.col(f"_stay_{side}"))
+            .when(last, F.col(f"_last_{side}"))
+            .otherwise(F.col(given))
+            for side, given in (("start", keys[1]), ("end", keys[2]))
         }
     )
 
