@@ -127,3 +127,13 @@ def test_change_report_doubles_pairs_not_facts(facts):
 def test_lines_and_orders_are_joined_once(spark, name):
     files = QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()
     assert files and not [f for f in files if "lineitem" in f or "orders" in f]
+
+
+def test_tasks_of_shuffles_stay_small(spark):
+    df = spark.range(4_000_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        parts = df.repartition("id").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert parts > 6  # about 200 MB on 4 cores, no task gets over 16 MB
