@@ -21,8 +21,16 @@ def is_diagnosis(c: str | Column) -> Column:
     return F.coalesce(as_col(c).rlike(r"^[A-Z]\d{2}\z"), F.lit(False))
 
 
+# Whatever the cast of a text reads as an integer has this shape.
+INTEGER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"
+
+
 def is_integer(c: str | Column) -> Column:
-    return as_col(c).try_cast("bigint").isNotNull()
+    c = as_col(c)
+    # a cast that fails raises and catches inside, which costs many times a cast or a match;
+    # the type's name is folded, so a column of text is matched and any other only cast
+    shaped = (F.typeof(c) != "string") | c.cast("string").rlike(INTEGER)
+    return F.when(shaped, c.try_cast("bigint")).isNotNull()
 
 
 def is_float(c: str | Column) -> Column:

@@ -65,6 +65,23 @@ def test_texts_that_only_look_like_numbers(spark, odd):
     assert one(spark, values.read_value("c", "money"), odd) is None
 
 
+def test_integers_are_cast_only_where_the_text_has_their_shape(spark):
+    texts = ["1.5", ".", " 12 ", "\x1f12\x7f", "+5", "+", "", "9223372036854775808", "٣", "12F", "1\xa0", "5e3", None, "00012"]
+    df = spark.createDataFrame([(t,) for t in texts], "c string").withColumn("want", F.col("c").try_cast("bigint").isNotNull())
+    out = df.withColumn("got", rules.is_integer("c"))
+    assert out.filter("got <> want").count() == 0
+    assert "RLIKE" in out._jdf.queryExecution().optimizedPlan().toString().upper()
+    halves = spark.createDataFrame([(1.5,), (2.0,), (None,)], "c double")
+    assert halves.filter(rules.is_integer("c")).count() == 2
+
+
+def test_only_days_that_some_year_has_are_cast(spark):
+    day = F.format_string("%02d/%02d/%04d", F.col("id") % 34, F.floor(F.col("id") / 34) % 15, F.element_at(F.array(F.lit(1999), F.lit(2000)), (F.col("id") % 2 + 1).cast("int")))
+    df = spark.range(34 * 15 * 2 + 1).select(day.alias("c"))
+    assert df.filter(~values.parse_date("c").eqNullSafe(F.try_to_timestamp("c", F.lit("dd/MM/yyyy")).cast("date"))).count() == 0
+    assert df.filter(F.col("c").rlike(values.DAY) & values.parse_date("c").isNull()).select(F.substring("c", 1, 5)).distinct().count() <= 1
+
+
 def test_rules_end_with_the_text(spark):
     assert one(spark, rules.is_date("c"), "01/02/2020\n") is False
     assert one(spark, rules.is_diagnosis("c"), "A10\n") is False
