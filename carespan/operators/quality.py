@@ -11,6 +11,8 @@ from carespan.functions.rules import RULES
 from carespan.functions.values import COMPLETENESS_TOKENS, is_filled
 from carespan.plans.claims import COLUMN_RULES, INDEX_COLUMN, MIN_FILLED
 
+BROKEN = "_broken"
+
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -77,18 +79,18 @@ def invalid_values(
 ) -> DataFrame:
     """Every value that breaks its rule, as (keys…, column, value)."""
     rules = _rules_for(df, rules)
-    broken = F.array(
+    # all cells, then a filter: a lambda over the array would keep Spark from compiling the rules
+    cells = F.array(
         *[
-            F.when(
-                ~RULES[rule][0](_q(c)),
-                F.struct(
-                    F.lit(c).alias("column_name"), _q(c).cast("string").alias("invalid_value")
-                ),
+            F.struct(
+                F.lit(c).alias("column_name"),
+                _q(c).cast("string").alias("invalid_value"),
+                (~RULES[rule][0](_q(c))).alias(BROKEN),
             )
             for c, rule in rules.items()
         ]
     )
-    return df.select(*keys, F.inline(F.array_compact(broken)))
+    return df.select(*keys, F.inline(cells)).filter(BROKEN).drop(BROKEN)
 
 
 def _rules_for(df: DataFrame, rules: Mapping[str, str] | None) -> dict[str, str]:

@@ -100,6 +100,13 @@ def test_rule_violations(spark):
         quality.rule_violations(df.select("n"))
 
 
+def test_invalid_values_are_found_without_a_lambda(spark):
+    df = spark.createDataFrame([("1", "x"), ("y", "3"), ("2", None)], "a string, b string")
+    out = quality.invalid_values(df, {"a": "integer", "b": "integer"})
+    assert rows(out) == [("a", "y"), ("b", None), ("b", "x")]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_reports(spark):
     df = spark.createDataFrame(
         [("d", 1.0, "x"), ("d", 2.0, "y"), ("e", 4.0, "y"), ("e", 1.0, "y")],
