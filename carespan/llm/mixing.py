@@ -116,7 +116,8 @@ def mix(
     targets = fill(spans.groupBy(*key).agg(F.sum("words").alias("source_size")), weights, most)
     before = Window.partitionBy(*key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-    spans = spans.join(targets, key).drop("rows", "words")
+    # staged, so that its size is known and the rows are not shuffled to meet it
+    spans = stage(spans.join(targets, key).drop("rows", "words"), "spans")
 
     place = F.col("at") - F.col("first") + F.col("start")  # from 0, in the source
     expected = F.col("target") / F.nullif(F.col("source_size"), F.lit(0)).cast("double")

@@ -377,7 +377,8 @@ def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, key:
     # a row for each class and band value that it shares
     members = stage(bands.join(shared, "band").withColumn("root", F.col("cid")), "members")
     nodes = stage(members.select("cid").distinct(), "nodes")
-    wanted = reps.drop("keys", "n").join(nodes, "cid", "left_semi")
+    # staged, so that its size is known: texts are shuffled only where it is too large to be sent to them
+    wanted = stage(reps.drop("keys", "n").join(nodes, "cid", "left_semi"), "wanted")
     sets = full_sets(docs, key, text, wanted)
     sketches = rows.select(F.col("uid").alias("cid"), "n", "sketch").join(nodes, "cid", "left_semi")
     sketches = stage(sketches, "candidate-sketches")

@@ -70,3 +70,9 @@ def test_repeated_rows_are_separate(spark):
 def test_nothing_to_mix(spark, texts):
     got = mixing.mix(documents(spark, texts)).select("size", "source_size", "target", "copies")
     assert rows(got) == [(0, 0, 0.0, 0)] * len(texts)
+
+
+def test_rows_are_shuffled_once(spark):
+    """What is joined to the wide rows has a known size, and is sent to them."""
+    plan = mixing.mix(corpus(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

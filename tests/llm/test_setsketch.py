@@ -129,3 +129,17 @@ def test_small_sets_at_the_threshold_share_a_band(size, common):
     whole, part = (np.sort(e, axis=1).reshape(-1) for e in (elements, elements[:, :common]))
     a, b = (s.band_keys(s.registers(e, np.full(n, k))) for e, k in ((whole, size), (part, common)))
     assert (a == b).any(axis=1).all()
+
+
+def test_texts_meet_a_table_of_known_size(spark, monkeypatch):
+    """The rows whose sets are wanted are staged narrow, so texts are not shuffled to meet a few."""
+    plans, full_sets = [], s.full_sets
+
+    def seen(docs, key, text, wanted):
+        plans.append(wanted._jdf.queryExecution().executedPlan().toString())
+        assert sorted(wanted.columns) == ["cid", "h1", "h2", "id"]
+        return full_sets(docs, key, text, wanted)
+
+    monkeypatch.setattr(s, "full_sets", seen)
+    assert s.near_duplicates(documents(spark)).count() > 0
+    assert len(plans) == 1 and "Join" not in plans[0] and "parquet" in plans[0]
