@@ -68,7 +68,7 @@ class WordCache:
         fresh = list(new - met)
         known.update(zip(fresh, self.encode_parts([self.part(k) for k in fresh]), strict=True))
         for keys in group:
-            yield b"".join([known[k] for k in keys])
+            yield b"".join(map(known.__getitem__, keys))
 
 
 def split_words(text: str) -> list[str]:
@@ -94,26 +94,29 @@ def word_encoder(tokenizer, dtype: np.dtype) -> Callable[[list[str]], list[bytes
 
     A space with Latin letters is one token of the pre-tokeniser, which the model can
     merge at once; what stands behind it, and any other part, goes through the whole
-    tokenizer.
+    tokenizer. Words are kept by themselves as well, as many come again with other signs
+    behind them.
     """
     letters, merge = byte_letters(), tokenizer.model.tokenize
+    merged: dict[str, bytes] = {"": b""}  # by a space and letters, as in LATIN_WORD
 
     def encode(parts: list[str]) -> list[bytes]:
-        heads = [LATIN_WORD.match(p) for p in parts]
-        tails = [p[m.end() :] if m else p for p, m in zip(parts, heads, strict=True)]
+        if len(merged) > WORDS_KEPT:
+            merged.clear()
+            merged[""] = b""
+        found = map(LATIN_WORD.match, parts)
+        heads = [m[0] if m else "" for m in found]
+        tails = [p[len(h) :] for p, h in zip(parts, heads, strict=True)]
+        new = list(set(heads) - merged.keys())
+        # the line feeds between the words become letters too
+        spelled = "\n".join(new).encode().decode("latin-1").translate(letters).split(letters[10])
+        for head, word in zip(new, spelled, strict=False):
+            merged[head] = array(dtype.char, [t.id for t in merge(word)]).tobytes()
         other = list({t for t in tails if t})
-        found = tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        known = {t: np.array(e.ids, dtype).tobytes() for t, e in zip(other, found, strict=True)}
+        encoded = tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        known = {t: np.array(e.ids, dtype).tobytes() for t, e in zip(other, encoded, strict=True)}
         known[""] = b""
-        out = []
-        for m, tail in zip(heads, tails, strict=True):
-            if m:
-                spelled = m[0].encode().decode("latin-1").translate(letters)
-                ids = array(dtype.char, [t.id for t in merge(spelled)]).tobytes()
-                out.append(ids + known[tail])
-            else:
-                out.append(known[tail])
-        return out
+        return [merged[h] + known[t] for h, t in zip(heads, tails, strict=True)]
 
     return encode
 

@@ -101,3 +101,24 @@ def test_word_cache_forgets(monkeypatch, plain):
     for text, ids in zip(texts, words.encode(texts), strict=True):
         assert np.frombuffer(ids, words.dtype).tolist() == plain(text)
     assert len(words.known) <= 8
+
+
+def test_a_word_is_merged_once_whatever_stands_behind_it(plain):
+    from tokenizers import Tokenizer
+
+    tokenizer, asked = Tokenizer.from_file(PATH), []
+
+    class Counted:
+        encode_batch_fast = tokenizer.encode_batch_fast
+
+        class model:
+            @staticmethod
+            def tokenize(word):
+                asked.append(word)
+                return tokenizer.model.tokenize(word)
+
+    encode = word_cache.word_encoder(Counted, np.dtype("<u2"))
+    parts = [" straße", " straße,", " straße.\n\n", ",\n", "", " a\nb", " naïve 7", " 漢字", " x"]
+    for some in (parts, [" straße;", " x!", " straße"], []):
+        assert encode(some) == [np.array(plain(p), "<u2").tobytes() for p in some]
+    assert len(asked) == len(set(asked)) == 4
