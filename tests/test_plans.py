@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carespan.operators import consolidate, normalize, person, quality, stays
 from carespan.plans import skew
 from carespan.plans.queries import QUERIES
+from carespan.sources.staging import stage
 
 NAMES = (
     "u, p, s, e, a, v, t, COD_ENTIDADE_TS_SEGURADO, NUM_AGR_INTER, NUM_PEDIDO_INTER, COD_CONTROLE"
@@ -137,3 +138,17 @@ def test_tasks_of_shuffles_stay_small(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert parts > 6  # about 200 MB on 4 cores, no task gets over 16 MB
+
+
+def test_packed_lookups_are_not_taken_for_small(spark):
+    """What a staged table fills in memory decides on a broadcast, not its packed files."""
+    facts = spark.range(1_000_000).withColumn("k", F.col("id"))
+    wide = spark.range(100_000).select(F.col("id").alias("k"), *[F.lit("same text again").alias(f"c{i}") for i in range(8)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2m")
+    try:
+        for lookup, broadcast in ((wide, False), (wide.limit(10), True)):
+            joined = facts.join(stage(lookup, "packed"), "k")
+            assert ("BroadcastHashJoin" in plan(joined)) == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
