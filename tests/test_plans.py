@@ -152,3 +152,13 @@ def test_packed_lookups_are_not_taken_for_small(spark):
             assert ("BroadcastHashJoin" in plan(joined)) == broadcast
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_reports_of_the_pipeline_do_not_broadcast_lookups_of_its_stays(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3k")
+    try:
+        text = plan(QUERIES["pipeline_reports"](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin [ID_INTERNACAO" in text and "BroadcastHashJoin" not in text
